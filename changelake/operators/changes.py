@@ -15,7 +15,7 @@ from changelake.functions import jsoncols as J
 from changelake.functions.codes import RAW_EVENTS
 from changelake.plans.filters import FilterExpression
 from changelake.plans.joins import lookup
-from changelake.plans.matching import local_predicate
+from changelake.plans.matching import local_predicate, previous_row_matches
 from changelake.plans.once import computed_once
 from changelake.plans.segments import SPAN, lead_value
 from changelake.sources.schemas import SUMMARY_FIELDS
@@ -41,6 +41,12 @@ def read_log(
     return log.orderBy(S.col("id").desc() if descending else S.col("id").asc()).limit(limit)
 
 
+def filter_deleted(log: DataFrame, filter: FilterExpression | None) -> DataFrame:
+    """Deletes whose previous row matches a filter on direct fields."""
+    rows = with_parsed_data(log.where(S.col("event_type") == "DELETE"))
+    return rows.where(previous_row_matches(filter, S.col("__data"))).drop("__data")
+
+
 def latest_id(log: DataFrame) -> DataFrame:
     """One row with the newest log id, 0 for an empty log."""
     return log.agg(S.coalesce(S.max("id"), S.lit(0)).alias("latest_id"))

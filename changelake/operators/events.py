@@ -99,16 +99,18 @@ def _with_records(rows: DataFrame, records: DataFrame) -> DataFrame:
     return lookup(rows, table, {"sqlrecord_id": "__record_id"}, only=S.col("event_type") != "DELETE")
 
 
-def _with_kept_record(rows: DataFrame, filter: FilterExpression | None) -> DataFrame:
+def _with_kept_record(rows: DataFrame, filter: FilterExpression | None, events: Sequence[str]) -> DataFrame:
     """Drop events whose record is gone or doesn't match.
 
     A hard delete is checked on its previous row. A record that moved off the branch and is gone since is
     reported only if there is no filter to check.
     """
-    gone_but_reported = (S.col("event") == "deleted") if filter is None else S.lit(False)
-    kept = S.when(
-        S.col("event_type") == "DELETE", previous_row_matches(filter, S.col("__data"))
-    ).otherwise(S.col("__found").isNotNull() | gone_but_reported)
+    found = S.col("__found").isNotNull()
+    if "deleted" not in events:
+        return rows.where(found).drop("__found")
+    if filter is None:
+        found = found | (S.col("event") == "deleted")
+    kept = S.when(S.col("event_type") == "DELETE", previous_row_matches(filter, S.col("__data"))).otherwise(found)
     return rows.where(kept).drop("__found")
 
 
@@ -160,7 +162,7 @@ def record_events(
         rows = exclude_marked(rows, marker)
     if refine is not None:
         rows = refine(rows)
-    rows = _with_kept_record(rows.where(_keep(names, changed_fields)), filter)
+    rows = _with_kept_record(rows.where(_keep(names, changed_fields)), filter, names)
     return _payload(with_actor(rows, _users(catalog)), reg)
 
 
@@ -226,7 +228,7 @@ def artifact_events(
     rows = rows.where(S.col("event").isNotNull()).drop("first_completion", "last_completion")
     if refine is not None:
         rows = refine(rows)
-    rows = _with_kept_record(rows.where(_keep(names, changed_fields)), criteria)
+    rows = _with_kept_record(rows.where(_keep(names, changed_fields)), criteria, names)
     return _payload(with_actor(rows, _users(catalog)), reg)
 
 
