@@ -279,8 +279,11 @@ def related_ids(catalog: Catalog, registry: Registry, condition: Condition, fiel
 def related_counts(catalog: Catalog, registry: Registry, condition: Condition) -> DataFrame:
     """``(id, n)``: how many related records each record has; records without any are absent."""
     *hops, field = condition.fields
-    if not hops:
-        raise ValueError(f"{condition.path!r} is not a relation")
+    at = registry
+    for name in hops:
+        at = catalog.registry(_relation(at, name, condition.path).target)
+    if field in at.relations and field not in at.load().columns:  # the path ends at a relation: count its ids
+        hops, field = [*hops, field], "id"
     return _counts(catalog, registry, hops, field, condition.path)
 
 
