@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -32,7 +33,5 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        import uuid
-
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"{name}-")
