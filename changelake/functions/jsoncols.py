@@ -99,9 +99,12 @@ def object_keys(text: Column) -> Column:
 
 
 def ongoing(aux: Column) -> Column:
-    """Whether a (possibly encoded) upload marker is an object whose ``so`` is ``1`` or ``true``."""
-    so = member(unwrapped(aux), "so")
-    return F.coalesce(as_long(so) == 1, as_boolean(so), F.lit(False))
+    """Whether a (possibly encoded) upload marker is an object whose ``so`` is ``1`` or ``true``.
+
+    Read as text and parsed again, an encoded marker is decoded and a plain one stays the same.
+    """
+    so = member(F.try_parse_json(F.try_variant_get(aux, "$", "string")), "so")
+    return F.coalesce(F.to_json(so).isin("1", "true"), F.lit(False))
 
 
 def upload_ongoing(aux_text: Column) -> Column:

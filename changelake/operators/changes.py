@@ -118,7 +118,9 @@ def record_event(branch: int | None, data: Column | None = None) -> Column:
 
 def classify(log: DataFrame, branch: int | None = None) -> DataFrame:
     """Add the column ``event``."""
-    return log.withColumn("event", record_event(branch))
+    if branch is None:
+        return log.withColumn("event", raw_event())
+    return with_parsed_data(log).withColumn("event", record_event(branch, S.col("__data"))).drop("__data")
 
 
 def scanned(table_name: str, events: Iterable[str], branch: int | None = None) -> Column:

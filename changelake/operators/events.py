@@ -69,9 +69,9 @@ def _events(events: str | Iterable[str]) -> list[str]:
     return [name for name in RECORD_EVENTS if name in names]
 
 
-def _scope(catalog: Catalog, registry: Registry, branch: str | int | None) -> int | None:
+def _scope(catalog: Catalog, records: DataFrame, branch: str | int | None) -> int | None:
     """The branch events are relative to; none for a registry without branches."""
-    return branch_id(catalog, branch) if "branch_id" in registry.load().columns else None
+    return branch_id(catalog, branch) if "branch_id" in records.columns else None
 
 
 def _keep(events: Sequence[str], changed: str | Iterable[str] | None) -> Column:
@@ -93,9 +93,21 @@ def _classified(
     return computed_once(rows, event=C.record_event(branch, data), __completes=C.is_upload_completion(data))
 
 
-def _with_records(rows: DataFrame, records: DataFrame) -> DataFrame:
-    """Attach the current record, and ``__found``; a hard delete has none."""
+def _touched(table: DataFrame, key: str, rows: DataFrame) -> DataFrame:
+    """The part of a table that these rows are about."""
+    ids = rows.select(S.col("sqlrecord_id").alias("__touched")).distinct()
+    return table.join(ids, S.col(key) == S.col("__touched"), "left_semi")
+
+
+def _with_records(rows: DataFrame, records: DataFrame, completions: DataFrame | None = None) -> DataFrame:
+    """Attach the current record, and ``__found``; a hard delete has none.
+
+    ``completions`` are attached to the records first: only rows with a record need them, and so the log rows
+    are shuffled once.
+    """
     table = records.select(S.col("id").alias("__record_id"), S.lit(True).alias("__found"), S.struct("*").alias("record"))
+    if completions is not None:
+        table = table.join(completions, S.col("__record_id") == S.col("sqlrecord_id"), "left").drop("sqlrecord_id")
     return lookup(rows, table, {"sqlrecord_id": "__record_id"}, only=S.col("event_type") != "DELETE")
 
 
@@ -140,6 +152,7 @@ def record_events(
     log: DataFrame | None = None,
     marker: str | None = None,
     refine: Step | None = None,
+    only_touched: bool = False,
 ) -> DataFrame:
     """Records of a registry created, updated or deleted, relative to a branch.
 
@@ -148,16 +161,19 @@ def record_events(
     :param log: The log rows to look at, by default the catalog's whole log.
     :param marker: Leave out records with this ``reference_type``.
     :param refine: Step that may drop or reclassify rows (columns of the log, ``event`` and ``record``).
+    :param only_touched: For a small ``log``: cut the registry to the records it is about before joining.
     """
     names = _events(events)
     reg = catalog.registry(registry)
     if "deleted" in names and not is_local(filter):
         raise ValueError("deleted events only support filters on direct fields of the record")
-    scope = _scope(catalog, reg, branch)
+    records = reg.load()
+    scope = _scope(catalog, records, branch)
     rows = catalog.log() if log is None else log
     rows = _classified(rows, reg.table_name, names, scope)
     rows = rows.where(S.col("event").isin(names))
-    rows = _with_records(rows, apply_filter(catalog, reg, reg.load(), filter))
+    records = apply_filter(catalog, reg, records, filter)
+    rows = _with_records(rows, _touched(records, "id", rows) if only_touched else records)
     if marker is not None:
         rows = exclude_marked(rows, marker)
     if refine is not None:
@@ -182,14 +198,16 @@ def artifact_events(
     filter: FilterExpression | None = None,
     changed_fields: str | Iterable[str] | None = None,
     log: DataFrame | None = None,
-    history: DataFrame | None = None,
+    completions: DataFrame | None = None,
     refine: Step | None = None,
+    only_touched: bool = False,
 ) -> DataFrame:
     """Artifacts created, updated or deleted, where *created* waits for the upload.
 
     With ``wait_for_upload``, the end of an artifact's first upload is its creation and the end of a later
     one an update; inserts followed by such an end, updates during an upload and deletes of failed uploads
-    aren't reported. Ends of uploads are looked up in ``history``, by default the catalog's whole log.
+    aren't reported. The ends of uploads are ``completions`` as made by ``upload_completions``, by default
+    those in the catalog's whole log.
     """
     names = _events(events)
     reg = catalog.registry(registry)
@@ -200,7 +218,8 @@ def artifact_events(
     )
     if "deleted" in names and not is_local(criteria):
         raise ValueError("deleted events only support filters on direct fields of the record")
-    scope = _scope(catalog, reg, branch)
+    records = reg.load()
+    scope = _scope(catalog, records, branch)
     rows = catalog.log() if log is None else log
     rows = _classified(rows, reg.table_name, names, scope, wait_for_upload)
     event, completes = S.col("event"), S.col("__completes")
@@ -210,16 +229,17 @@ def artifact_events(
     kept = event.isin(names)
     rows = rows.where(kept | (completes & (event == "created")) if uploads else kept)
 
-    records = apply_filter(catalog, reg, reg.load(), criteria)
-    table = records.select(S.col("id").alias("__record_id"), S.lit(True).alias("__found"), S.struct("*").alias("record"))
+    records = apply_filter(catalog, reg, records, criteria)
+    done = None
     if uploads:
-        # only rows with a record need them, so they come along with it: one shuffle of the log rows, not two
-        done = C.upload_completions(catalog.log() if history is None else history, reg.table_name)
-        table = table.join(done, S.col("__record_id") == S.col("sqlrecord_id"), "left").drop("sqlrecord_id")
-    else:
+        done = C.upload_completions(catalog.log(), reg.table_name) if completions is None else completions
+    if only_touched:
+        records = _touched(records, "id", rows)
+        done = None if done is None else _touched(done, "sqlrecord_id", rows)
+    rows = _with_records(rows, records, done)
+    if done is None:
         nothing = S.lit(None).cast("bigint")
-        table = table.withColumns({"first_completion": nothing, "last_completion": nothing})
-    rows = lookup(rows, table, {"sqlrecord_id": "__record_id"}, only=S.col("event_type") != "DELETE")
+        rows = rows.withColumns({"first_completion": nothing, "last_completion": nothing})
 
     if not include_internal:
         rows = rows.where(~(S.col("__found").isNotNull() & is_internal(S.col("record.kind"), internal_kinds)))
@@ -398,10 +418,12 @@ def batch_events(
     """Hand events to consumer runs, at most ``size`` per run, in log order.
 
     One row per run: the consumer's columns, ``batch`` (from 0), ``n_events`` and ``events``, a sorted array of
-    the other columns as structs, log id first. A consumer with more events gets more runs.
+    the other columns as structs, log id first. A consumer with more events gets more runs; events without a
+    consumer are nobody's.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
+    events = events.dropna(subset=list(consumer))
     rows = numbered(events, consumer, ["id"], "__n", span_of(S.col("id"), span))
     rows = rows.withColumn("batch", S.floor((S.col("__n") - 1) / size))
     rest = [name for name in events.columns if name not in consumer and name != "id"]

@@ -200,10 +200,10 @@ def version_transforms(observations: DataFrame, *, order: str = "obs", span: int
 def scope_boundary(members: DataFrame, edges: DataFrame) -> DataFrame:
     """Whether each member of a scope is a root (nothing upstream in the scope) or a leaf (nothing downstream).
 
-    ``members``: ``run_id, scope, task_id``; ``edges``: ``run_id, upstream, downstream``.
+    ``members``: one row ``run_id, scope, task_id`` per member; ``edges``: ``run_id, upstream, downstream``.
     """
     keys = ["run_id", "scope", "task_id"]
-    scopes = members.select(*keys).distinct()
+    scopes = members.select(*keys)
     down = edges.join(
         scopes.select("run_id", "scope", S.col("task_id").alias("downstream")), ["run_id", "downstream"]
     )

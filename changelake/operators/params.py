@@ -1,6 +1,7 @@
 """Which parameters of a run are recorded: fixed fields of a flow run, and what a step leaves out.
 
-Parameters are a JSON object as text. What stays of it is written compactly, with its keys sorted.
+Parameters are a JSON object as text. One from which something is dropped is written anew, compactly and with
+its keys sorted; others stay as they are.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ def _values(params: Column) -> Column:
     return S.try_variant_get(J.parsed(params), "$", "map<string,variant>")
 
 
-def _kept(params: Column, keep: Callable[[Column, Column], Column]) -> Column:
-    return S.to_json(S.map_filter(_values(params), keep))
+def _kept(params: Column, keep: Callable[[Column, Column], Column], suspect: Column) -> Column:
+    """The parameters that ``keep`` lets through; a text that isn't ``suspect`` needn't be parsed."""
+    return S.when(suspect, S.to_json(S.map_filter(_values(params), keep))).otherwise(params)
 
 
 def exclude_params(df: DataFrame, names: Iterable[str], column: str = "params") -> DataFrame:
     """Drop parameters by name."""
     names = list(names)
-    return df.withColumn(column, _kept(S.col(column), lambda key, _: ~key.isin(names)))
+    named = S.arrays_overlap(J.object_keys(S.col(column)), S.array(*[S.lit(name) for name in names]).cast("array<string>"))
+    return df.withColumn(column, _kept(S.col(column), lambda key, _: ~key.isin(names), named))
 
 
 def is_templated(text: Column, mode: str) -> Column:
@@ -46,9 +49,10 @@ def exclude_templated(df: DataFrame, mode: str = "secrets", column: str = "param
     """Drop parameters with a template in them or in anything nested: all, or those that read secrets."""
     if mode == "none":
         return df
-    return df.withColumn(
-        column, _kept(S.col(column), lambda _, value: ~S.coalesce(is_templated(S.to_json(value), mode), S.lit(False)))
-    )
+    def plain(_: Column, value: Column) -> Column:
+        return ~S.coalesce(is_templated(S.to_json(value), mode), S.lit(False))
+
+    return df.withColumn(column, _kept(S.col(column), plain, is_templated(S.col(column), mode)))
 
 
 def exclude_masked(
@@ -56,29 +60,32 @@ def exclude_masked(
 ) -> DataFrame:
     """Drop parameters whose value contains a known secret; names don't matter.
 
-    Every piece of a value as long as the shortest secret is looked up by equality among the beginnings of the
-    secrets; what is found is compared in full. Neither side has to fit in a task, and pieces travel without
-    the value they come from.
+    A secret is looked up by its beginning, as long as the largest power of two it has room for, so that there
+    are few lengths of beginnings and long secrets have long ones. Every piece of a value of such a length is
+    looked up among them by equality; what is found is compared in full. Neither side has to fit in a task, and
+    pieces travel without the value they come from.
     """
     known = secrets.where(S.length(secret) > 0).select(S.col(secret).alias("__secret")).distinct()
-    size = known.agg(S.coalesce(S.min(S.length("__secret")), S.lit(1))).scalar()
+    size = S.pow(S.lit(2), S.floor(S.log2(S.length("__secret")))).cast("int")
     starts = known.withColumn("__start", S.substr("__secret", S.lit(1), size))
+    sizes = known.agg(S.collect_set(size)).scalar()  # one number per power of two
     values = df.select(S.col(key).alias("__key"), S.explode(_values(S.col(column))).alias("__name", "__value"))
     # strings are compared as they are, anything else as its JSON text
     text = S.coalesce(J.as_string(S.col("__value")), S.to_json(S.col("__value")))
     values = values.select("__key", "__name", text.alias("__text"))
     pieces = (
-        values.where(S.length("__text") >= size)
-        .withColumn("__at", S.explode(S.sequence(S.lit(1), S.length("__text") - size + 1)))
-        .select("__key", "__name", S.substr("__text", S.col("__at"), size).alias("__start"))
+        values.withColumn("__size", S.explode(sizes))
+        .where(S.length("__text") >= S.col("__size"))
+        .withColumn("__at", S.explode(S.sequence(S.lit(1), S.length("__text") - S.col("__size") + 1)))
+        .select("__key", "__name", S.substr("__text", S.col("__at"), S.col("__size")).alias("__start"))
     )
     suspects = pieces.join(starts, "__start").select("__key", "__name", "__secret").distinct()
     hits = suspects.join(values, ["__key", "__name"]).where(S.col("__text").contains(S.col("__secret")))
     # at most the parameters of one run per group
     masked = hits.groupBy("__key").agg(S.collect_set("__name").alias("__masked"))
     joined = df.join(masked, S.col(key) == S.col("__key"), "left")
-    kept = _kept(S.col(column), lambda name, _: ~S.array_contains("__masked", name))
-    return joined.withColumn(column, S.when(S.col("__masked").isNull(), S.col(column)).otherwise(kept)).select(*df.columns)
+    kept = _kept(S.col(column), lambda name, _: ~S.array_contains("__masked", name), S.col("__masked").isNotNull())
+    return joined.withColumn(column, kept).select(*df.columns)
 
 
 def flow_params(df: DataFrame, out: str = "params") -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from changelake.functions import jsoncols as J
 from changelake.plans.filters import And, Condition, FilterExpression, Or
 from changelake.plans.joins import distinct_ids
+from changelake.plans.once import computed_once
 from changelake.sources.catalog import Catalog, Registry, Relation
 
 _COMPARE: dict[str, Callable[[Column, Column], Column]] = {
@@ -164,6 +165,8 @@ class _Matcher:
         self.columns = df.columns
         self.helpers = 0
         self.hops: dict[tuple[str, ...], tuple[Registry, set[str]]] = {}
+        self.counts: dict[str, str] = {}
+        self.parsed: dict[str, str] = {}
 
     def _helper(self) -> str:
         self.helpers += 1
@@ -208,6 +211,20 @@ class _Matcher:
             target = target.select(S.col("id").alias(joined_id), *renamed)
             self.df = self.df.join(target, S.col(key) == S.col(joined_id), "left").drop(joined_id)
 
+    def parse_json(self, node: FilterExpression) -> None:
+        """Parse each JSON column that conditions look into once per row."""
+        for condition in node.conditions():
+            relations, registries = self._split(condition.fields[:-1], condition.path)
+            if condition.is_count or any(map(_is_many, relations)) or not _looks_inside(registries[-1], condition):
+                continue
+            *hops, field = condition.fields
+            column = self._hop_name(tuple(hops), field) if hops else field
+            _field(registries[-1], self.df, column, condition.path)
+            self.parsed.setdefault(column, self._helper())
+        if self.parsed:
+            columns = {name: J.parsed(S.col(column)) for column, name in self.parsed.items()}
+            self.df = computed_once(self.df, **columns)
+
     def predicate(self, node: FilterExpression, required: bool) -> Column | None:
         """The predicate of a node; ``None`` where a semi join has applied it already."""
         if isinstance(node, Condition):
@@ -224,9 +241,12 @@ class _Matcher:
     def _leaf(self, condition: Condition, required: bool) -> Column | None:
         relations, registries = self._split(condition.fields[:-1], condition.path)
         if condition.is_count:
-            counts, name = related_counts(self.catalog, self.registry, condition), self._helper()
-            counts = counts.select(S.col("id").alias(name + "_id"), S.col("n").alias(name))
-            self.df = self.df.join(counts, S.col("id") == S.col(name + "_id"), "left").drop(name + "_id")
+            name = self.counts.get(condition.path)
+            if name is None:
+                name = self.counts[condition.path] = self._helper()
+                counts = related_counts(self.catalog, self.registry, condition)
+                counts = counts.select(S.col("id").alias(name + "_id"), S.col("n").alias(name))
+                self.df = self.df.join(counts, S.col("id") == S.col(name + "_id"), "left").drop(name + "_id")
             operator = condition.operator.removeprefix("count_")
             return _COMPARE[operator](S.coalesce(S.col(name), S.lit(0)), S.lit(condition.value))
         if any(map(_is_many, relations)):
@@ -241,12 +261,23 @@ class _Matcher:
         *hops, field = condition.fields
         column = self._hop_name(tuple(hops), field) if hops else field
         kind = _field(registries[-1], self.df, column, condition.path)
-        return leaf_condition(registries[-1], S.col(column), kind, field, condition)
+        parsed = S.col(self.parsed[column]) if column in self.parsed else None
+        return leaf_condition(registries[-1], S.col(column), kind, condition, parsed)
+
+
+def _looks_inside(registry: Registry, condition: Condition) -> bool:
+    """Whether a condition reads the JSON in its field."""
+    in_json = condition.fields[-1] in registry.json_fields and condition.operator != "isnull"
+    return bool(condition.json_keys) or in_json
 
 
-def leaf_condition(registry: Registry, column: Column, kind: T.DataType, field: str, condition: Condition) -> Column:
-    if condition.json_keys or (field in registry.json_fields and condition.operator != "isnull"):
-        variant = J.member(J.parsed(column), *condition.json_keys) if condition.json_keys else J.parsed(column)
+def leaf_condition(
+    registry: Registry, column: Column, kind: T.DataType, condition: Condition, parsed: Column | None = None
+) -> Column:
+    """A condition on a field of a table in hand; ``parsed`` is its JSON, if parsed already."""
+    if _looks_inside(registry, condition):
+        variant = J.parsed(column) if parsed is None else parsed
+        variant = J.member(variant, *condition.json_keys) if condition.json_keys else variant
         return json_condition(variant, condition.operator, condition.value)
     return column_condition(column, kind, condition.operator, condition.value)
 
@@ -257,13 +288,13 @@ def related_ids(catalog: Catalog, registry: Registry, condition: Condition, fiel
     name, rest = fields[0], fields[1:]
     if not rest:
         kind = _field(registry, df, name, condition.path)
-        return df.where(leaf_condition(registry, S.col(name), kind, name, condition)).select("id")
+        return df.where(leaf_condition(registry, S.col(name), kind, condition)).select("id")
     relation = _relation(registry, name, condition.path)
     target = catalog.registry(relation.target)
     if relation.many and len(rest) == 1:  # the condition is on the related table itself
         table = target.load()
         kind = _field(target, table, rest[0], condition.path)
-        found = table.where(leaf_condition(target, S.col(rest[0]), kind, rest[0], condition))
+        found = table.where(leaf_condition(target, S.col(rest[0]), kind, condition))
         return distinct_ids(found, relation.column, "id")
     ids = related_ids(catalog, target, condition, rest).select(S.col("id").alias("__target"))
     if relation.link is not None:
@@ -319,6 +350,7 @@ def apply_filter(catalog: Catalog, registry: str | Registry, df: DataFrame, node
     matcher = _Matcher(catalog, catalog.registry(registry), df)
     matcher.plan(node)
     matcher.join_hops()
+    matcher.parse_json(node)
     predicate = matcher.predicate(node, required=True)
     matched = matcher.df if predicate is None else matcher.df.where(predicate)
     return matched.select(*[S.col(f"`{c}`") for c in matcher.columns])
@@ -331,7 +363,7 @@ def local_predicate(df: DataFrame, node: FilterExpression) -> Column:
             raise ValueError(f"{node.path!r} needs other tables")
         name = node.fields[0]
         bare = Registry("rows", "rows", lambda: df)
-        return leaf_condition(bare, S.col(name), _field(bare, df, name, node.path), name, node)
+        return leaf_condition(bare, S.col(name), _field(bare, df, name, node.path), node)
     parts = [local_predicate(df, member) for member in node.members]
     combined = parts[0]
     for part in parts[1:]:

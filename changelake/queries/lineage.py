@@ -11,7 +11,7 @@ from changelake.functions.jsoncols import object_keys
 from changelake.operators import lineage as L
 from changelake.operators import params as P
 from changelake.queries import named
-from changelake.sources.fixtures import view
+from changelake.sources.fixtures import table, view
 
 
 def _bounded(reference: str) -> str:
@@ -81,7 +81,7 @@ _L03 = {
        FROM (SELECT *, {_derived(_L03)} FROM part)""",
 )
 def l03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _expr(spark.read.parquet(f"{sf_dir}/part.parquet"), **_L03)
+    parts = _expr(table(spark, sf_dir, "part"), **_L03)
     return parts.select(S.col("p_partkey").alias("id"), R.valid_scope(S.col("scope"), S.col("dag")).alias("valid"))
 
 
@@ -257,7 +257,7 @@ _SCOPES = "SELECT concat('dag', CAST(o_custkey AS STRING)) AS dag_id, o_orderpri
          WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.dag_id = s.dag_id AND u.scope = s.scope)""",
 )
 def l16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = table(spark, sf_dir, "orders")
     scopes = spark.sql(_SCOPES, orders=orders)
     return L.scope_conflicts(scopes, spark.sql(_SCOPES + " WHERE o_orderkey % 7 <> 0", orders=orders))
 
@@ -302,7 +302,7 @@ _SECRETS = """SELECT DISTINCT CASE WHEN s_suppkey % 2 = 0 THEN concat('S', CAST(
        SELECT r.id, coalesce(string_agg(k.name, ',' ORDER BY k.name), '') AS names FROM run r LEFT JOIN kept k ON k.id = r.id GROUP BY r.id""",
 )
 def l19(spark: SparkSession, sf_dir: str) -> DataFrame:
-    secrets = spark.sql(_SECRETS, supplier=spark.read.parquet(f"{sf_dir}/supplier.parquet"))
+    secrets = spark.sql(_SECRETS, supplier=table(spark, sf_dir, "supplier"))
     kept = P.exclude_masked(view(spark, sf_dir, "run"), secrets)
     return kept.select("id", S.array_join(object_keys(S.col("params")), ",").alias("names"))
 

@@ -14,18 +14,18 @@ from changelake.operators.changes import filter_deleted
 from changelake.plans.filters import F, FilterExpression
 from changelake.queries import named
 from changelake.sources.catalog import Catalog, Registry
-from changelake.sources.fixtures import catalog, view
+from changelake.sources.fixtures import catalog, table, view
 
 
 def _ids(spark: SparkSession, sf_dir: str, registry: str, filter: FilterExpression, *columns: str) -> DataFrame:
     return Q.query(catalog(spark, sf_dir), registry, filter, limit=None).select("id", *columns)
 
 
-def _filter(name: str, registry: str, table: str, filter: FilterExpression, where: str, *columns: str, views=()) -> None:
+def _filter(name: str, registry: str, source: str, filter: FilterExpression, where: str, *columns: str, views=()) -> None:
     """A query that returns the ids (and columns) of the records matching a filter."""
     picked = ", ".join(["id", *columns])
 
-    @named(name, (table, *views), f"SELECT {picked} FROM {table} WHERE {where}")
+    @named(name, (source, *views), f"SELECT {picked} FROM {source} WHERE {where}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _ids(spark, sf_dir, registry, filter, *columns)
 
@@ -102,10 +102,10 @@ _filter(
     "WHERE list_contains([lang, source], 'en') OR list_contains([lang, source], 'src3')",
 )
 def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     tags = S.array("lang", "source")
-    table = docs.select(S.col("doc_id").alias("id"), tags.alias("tags"), S.to_json(tags).alias("tags_json"))
-    reg = Registry("core.document", "reg_document", lambda: table, json_fields=frozenset({"tags_json"}))
+    rows = docs.select(S.col("doc_id").alias("id"), tags.alias("tags"), S.to_json(tags).alias("tags_json"))
+    reg = Registry("core.document", "reg_document", lambda: rows, json_fields=frozenset({"tags_json"}))
     found = Q.query(Catalog([reg]), "document", F("tags").contains("en") | F("tags_json").contains("src3"), limit=None)
     return found.select("id", S.array_contains("tags", "en").alias("by_lang"))
 

@@ -11,17 +11,13 @@ from changelake.operators.query import query
 from changelake.plans.filters import F
 from changelake.queries import named
 from changelake.sources.catalog import Catalog
-from changelake.sources.fixtures import view
+from changelake.sources.fixtures import table, view
 from changelake.sources.schemas import ARTIFACT
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _sql(spark: SparkSession, sf_dir: str, body: str, *tables: str) -> DataFrame:
     """A SELECT over test tables in SQL that both engines read; braces of JSON are doubled in it."""
-    return spark.sql(body, **{name: _table(spark, sf_dir, name) for name in tables})
+    return spark.sql(body, **{name: table(spark, sf_dir, name) for name in tables})
 
 
 def _duck(body: str, *tables: str) -> str:

@@ -34,6 +34,8 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **settings: str) -> S
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": str(cpus),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # spares a stack capture for every column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**SETTINGS, **defaults, **settings}.items():
         builder = builder.config(key, value)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changelake.sources.readers import table_reader
+
 DEFAULT_MODULE = "core"
 
 
@@ -75,7 +76,7 @@ class Catalog:
         """A catalog over a directory with one Parquet table per name; ``registries`` maps names to tables."""
 
         def reader(table: str) -> Callable[[], DataFrame]:
-            return lambda: spark.read.parquet(str(PurePosixPath(root) / table))
+            return table_reader(spark, f"{root.rstrip('/')}/{table}")
 
         return cls(
             [

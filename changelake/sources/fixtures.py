@@ -6,11 +6,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.plans.segments import numbered, span_of
 from changelake.sources.catalog import Catalog, Registry, Relation
+from changelake.sources.readers import table_reader
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -110,25 +114,34 @@ def with_views(*views: str) -> str:
     return "WITH " + ",\n".join(f"{view} AS (\n{duckdb_sql(view)}\n)" for view in views) + "\n"
 
 
+@cache
+def _reader(spark: SparkSession, path: str) -> Callable[[], DataFrame]:
+    return table_reader(spark, path)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the test tables."""
+    return _reader(spark, f"{sf_dir}/{name}.parquet")()
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input as a DataFrame."""
     if name == "branchblock":  # the same numbers as the view's, without sorting the whole table in one task
-        talk = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+        talk = table(spark, sf_dir, "conversations")
         rows = numbered(talk, [], ["conv_id", "turn"], "__n", span_of(F.col("conv_id"), 10_000))
         kind = F.when(F.col("role") == "system", "readme").otherwise("comment")
         return rows.select(
             (F.col("__n") - 1).alias("id"), (F.col("conv_id") % 20).alias("branch_id"), kind.alias("kind"),
             F.col("text").alias("content"),
         )
-    sources = {table: spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in _SOURCE[name]}
-    return view_over(spark, name, sources)
+    return view_over(spark, name, {source: table(spark, sf_dir, source) for source in _SOURCE[name]})
 
 
 def view_over(spark: SparkSession, name: str, sources: dict[str, DataFrame]) -> DataFrame:
     """A view over given tables, which may be streams."""
     sql = VIEWS[name].replace("{", "{{").replace("}", "}}")  # braces of JSON texts are no parameters
-    for table in sources:
-        sql = sql.replace(f"FROM {table}", f"FROM {{{table}}}").replace(f"JOIN {table}", f"JOIN {{{table}}}")
+    for source in sources:
+        sql = sql.replace(f"FROM {source}", f"FROM {{{source}}}").replace(f"JOIN {source}", f"JOIN {{{source}}}")
     return spark.sql(sql, **sources)
 
 

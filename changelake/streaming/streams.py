@@ -17,6 +17,7 @@ from pyspark.sql import functions as S
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from changelake.operators.changes import upload_completions
 from changelake.operators.events import artifact_events, block_events, custom_events, record_events, status_events
 from changelake.sources.catalog import Catalog
 
@@ -32,18 +33,65 @@ def parquet_sink(path: str) -> Sink:
     return write
 
 
-def batch_operator(kind: str, catalog: Catalog, **options: Any) -> Callable[[DataFrame], DataFrame]:
-    """The operator of a kind of events as a function of a batch of log rows."""
+class _Completions:
+    """The ends of uploads a stream has passed, so that a micro-batch needn't read the log behind it.
+
+    Each batch leaves a folder with its own; every ``every``-th one holds all up to it. What lies behind the
+    first batch is read once. A repeated batch overwrites its folder and sees the same folders before it.
+    """
+
+    schema = "sqlrecord_id long, first_completion long, last_completion long, batch int"
+
+    def __init__(self, catalog: Catalog, table_name: str, path: str, every: int = 50) -> None:
+        self.catalog, self.table_name, self.path, self.every = catalog, table_name, path, every
+
+    @staticmethod
+    def _merged(*parts: DataFrame) -> DataFrame:
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        return rows.groupBy("sqlrecord_id").agg(
+            S.min("first_completion").alias("first_completion"), S.max("last_completion").alias("last_completion")
+        )
+
+    def advance(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Note the batch's completions; return those known in it: before, in and behind it in the log."""
+        log, start = self.catalog.log(), batch.agg(S.min("id")).first()[0]
+        ahead = log.where(S.col("id") >= start) if start is not None else log.limit(0)
+        parts = [upload_completions(batch, self.table_name)]
+        if batch_id == 0:
+            passed = upload_completions(log.where(S.col("id") < start) if start is not None else log, self.table_name)
+        else:
+            base = (batch_id - 1) // self.every * self.every
+            stored = batch.sparkSession.read.schema(self.schema).parquet(self.path)
+            passed = stored.where(S.col("batch").between(base, batch_id - 1)).drop("batch")
+        if batch_id % self.every == 0:
+            parts.append(passed)
+        self._merged(*parts).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        return self._merged(passed, upload_completions(ahead, self.table_name))
+
+
+def batch_operator(
+    kind: str, catalog: Catalog, state: str | None = None, **options: Any
+) -> Callable[[DataFrame, int], DataFrame]:
+    """The operator of a kind of events as a function of a batch of log rows and its number."""
     if kind == "record":
-        return lambda log: record_events(catalog, log=log, **options)
+        return lambda log, _: record_events(catalog, log=log, only_touched=True, **options)
     if kind == "artifact":
-        return lambda log: artifact_events(catalog, log=log, history=catalog.log(), **options)
+        registry = catalog.registry(options.get("registry", "artifact"))
+        done = _Completions(catalog, registry.table_name, state) if state else None
+
+        def artifacts(log: DataFrame, batch_id: int) -> DataFrame:
+            known = done.advance(log, batch_id) if done else None
+            return artifact_events(catalog, log=log, completions=known, only_touched=True, **options)
+
+        return artifacts
     if kind == "status":
-        return lambda log: status_events(catalog, log=log, later=catalog.log(), **options)
+        return lambda log, _: status_events(catalog, log=log, later=catalog.log(), **options)
     if kind == "block":
-        return lambda log: block_events(catalog, log=log, **options)
+        return lambda log, _: block_events(catalog, log=log, **options)
     if kind == "custom":
-        return lambda log: custom_events(catalog, log=log, **options)
+        return lambda log, _: custom_events(catalog, log=log, **options)
     raise ValueError(f"unknown kind {kind!r}; known: record, artifact, status, block, custom")
 
 
@@ -60,13 +108,20 @@ def stream_events(
     """Run an event operator continuously.
 
     Events of a batch are written before its position is committed: at least once, exactly once with the
-    Parquet sink. Without ``interval``, what is there is read and the query ends.
+    Parquet sink. Without ``interval``, what is there is read and the query ends. A batch reads the log from
+    its own start on, so let the batch operator report a long past and start the stream behind it.
     """
     write = parquet_sink(sink) if isinstance(sink, str) else sink
-    operator = batch_operator(kind, catalog, **options)
+    operator = batch_operator(kind, catalog, f"{checkpoint.rstrip('/')}-completions", **options)
+    reused = kind in ("record", "artifact", "status")  # these read a batch more than once
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write(operator(batch), batch_id)
+        batch = batch.persist() if reused else batch
+        try:
+            write(operator(batch, batch_id), batch_id)
+        finally:
+            if reused:
+                batch.unpersist()
 
     writer = log_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

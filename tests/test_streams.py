@@ -64,6 +64,25 @@ def test_stream_equals_batch(spark, log_files, cat, tmp_path, kind):
     assert _rows(spark.read.parquet(f"{out}/batch=*").select(*expected.columns)) == _rows(expected)
 
 
+@pytest.mark.parametrize("every", [1, 2, 50])
+def test_completions_are_remembered_across_batches(spark, log_files, cat, tmp_path, every, monkeypatch):
+    """Uploads that ended behind a micro-batch count, also behind the stream's start."""
+    def small(catalog, table_name, path):
+        return plain(catalog, table_name, path, every)
+
+    plain = streams._Completions
+    monkeypatch.setattr(streams, "_Completions", small)
+    start = 300
+    stream = read_log_stream(spark, log_files, max_files=1, after_id=start)
+    out = str(tmp_path / "out")
+    streams.stream_events("artifact", stream, cat, out, str(tmp_path / "cp"), events=ALL).awaitTermination()
+    got = spark.read.parquet(f"{out}/batch=*")
+    expected = E.artifact_events(cat, events=ALL, log=cat.log().where(S.col("id") > start))
+    assert _rows(got.select(*expected.columns)) == _rows(expected)
+    whole = E.artifact_events(cat, events=ALL).where(S.col("id") > start)
+    assert _rows(got.select(*expected.columns)) == _rows(whole)
+
+
 def test_a_failed_batch_is_delivered_after_a_restart(spark, log_files, cat, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     written = streams.parquet_sink(out)
