@@ -104,7 +104,8 @@ def ongoing(aux: Column) -> Column:
     Read as text and parsed again, an encoded marker is decoded and a plain one stays the same.
     """
     so = member(F.try_parse_json(F.try_variant_get(aux, "$", "string")), "so")
-    return F.coalesce(F.to_json(so).isin("1", "true"), F.lit(False))
+    # type and value in one text: 1.0 prints as 1 but isn't an integer
+    return F.coalesce(F.concat(F.schema_of_variant(so), F.to_json(so)).isin("BIGINT1", "BOOLEANtrue"), F.lit(False))
 
 
 def upload_ongoing(aux_text: Column) -> Column:

@@ -30,9 +30,10 @@ def _kept(params: Column, keep: Callable[[Column, Column], Column], suspect: Col
 
 
 def exclude_params(df: DataFrame, names: Iterable[str], column: str = "params") -> DataFrame:
-    """Drop parameters by name."""
+    """Drop parameters by name; a text that isn't an object becomes null."""
     names = list(names)
-    named = S.arrays_overlap(J.object_keys(S.col(column)), S.array(*[S.lit(name) for name in names]).cast("array<string>"))
+    wanted = S.array(*[S.lit(name) for name in names]).cast("array<string>")
+    named = S.coalesce(S.arrays_overlap(S.json_object_keys(S.col(column)), wanted), S.lit(True))
     return df.withColumn(column, _kept(S.col(column), lambda key, _: ~key.isin(names), named))
 
 
