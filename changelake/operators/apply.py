@@ -11,6 +11,7 @@ from pyspark.sql import functions as S
 from pyspark.sql import types as T
 
 from changelake.functions import jsoncols as J
+from changelake.plans.joins import touched
 from changelake.plans.once import computed_once
 from changelake.plans.segments import hashed_segment, numbered
 
@@ -135,15 +136,15 @@ def emit_log(
     follow ``start_id`` in the order of ``hashed_segment(uid)``, then ``uid``.
     """
     columns = before.columns
-    old = before.withColumnsRenamed({c: f"__old_{c}" for c in columns})
+    old = touched(before, "uid", changes, "uid").withColumnsRenamed({c: f"__old_{c}" for c in columns})
     rows = changes.join(old, S.col("uid") == S.col("__old_uid"), "left")
     rows = rows.where((S.col("op") == "INSERT") | S.col("__old_uid").isNotNull())
     rows = computed_once(rows, __patch=J.parsed(S.col(patch)), __keys=J.object_keys(S.col(patch)))
     pieces = []
     for name in columns:
         whole = S.to_json(S.struct(S.col(f"__old_{name}").alias(name)), {"ignoreNullFields": "false"})
-        touched = (S.col("op") == "DELETE") | S.array_contains("__keys", name)
-        pieces.append(S.when(touched, S.substr(whole, S.lit(2), S.length(whole) - 2)))
+        logged = (S.col("op") == "DELETE") | S.array_contains("__keys", name)
+        pieces.append(S.when(logged, S.substr(whole, S.lit(2), S.length(whole) - 2)))
     data = S.concat(S.lit("{"), S.concat_ws(",", *pieces), S.lit("}"))
     patched = J.member(S.col("__patch"), "branch_id")
     old_branch = S.col("__old_branch_id") if "branch_id" in columns else S.lit(None).cast("bigint")

@@ -26,7 +26,7 @@ from changelake.functions.patterns import glob_any
 from changelake.operators import changes as C
 from changelake.operators.query import artifact_filter, branch_id
 from changelake.plans.filters import FilterExpression, is_local
-from changelake.plans.joins import lookup
+from changelake.plans.joins import lookup, touched
 from changelake.plans.matching import apply_filter, previous_row_matches
 from changelake.plans.once import computed_once
 from changelake.plans.segments import SPAN, numbered, span_of
@@ -56,8 +56,10 @@ def exclude_marked(df: DataFrame, marker: str) -> DataFrame:
     data = S.col("__data") if "__data" in df.columns else C.parsed_data()
     before = J.equals(J.member(data, "reference_type"), marker)
     fields = df.schema["record"].dataType.fieldNames() if "record" in df.columns else []
-    if "reference_type" not in fields:
+    if "record" not in df.columns:
         return df.where(~before)
+    if "reference_type" not in fields:
+        return df.where(S.col("record").isNotNull() | ~before)
     now = S.col("record.reference_type").eqNullSafe(S.lit(marker))
     return df.where(~S.when(S.col("record").isNotNull(), now).otherwise(before))
 
@@ -93,12 +95,6 @@ def _classified(
     return computed_once(rows, event=C.record_event(branch, data), __completes=C.is_upload_completion(data))
 
 
-def _touched(table: DataFrame, key: str, rows: DataFrame) -> DataFrame:
-    """The part of a table that these rows are about."""
-    ids = rows.select(S.col("sqlrecord_id").alias("__touched")).distinct()
-    return table.join(ids, S.col(key) == S.col("__touched"), "left_semi")
-
-
 def _with_records(rows: DataFrame, records: DataFrame, completions: DataFrame | None = None) -> DataFrame:
     """Attach the current record, and ``__found``; a hard delete has none.
 
@@ -173,7 +169,7 @@ def record_events(
     rows = _classified(rows, reg.table_name, names, scope)
     rows = rows.where(S.col("event").isin(names))
     records = apply_filter(catalog, reg, records, filter)
-    rows = _with_records(rows, _touched(records, "id", rows) if only_touched else records)
+    rows = _with_records(rows, touched(records, "id", rows, "sqlrecord_id") if only_touched else records)
     if marker is not None:
         rows = exclude_marked(rows, marker)
     if refine is not None:
@@ -234,8 +230,8 @@ def artifact_events(
     if uploads:
         done = C.upload_completions(catalog.log(), reg.table_name) if completions is None else completions
     if only_touched:
-        records = _touched(records, "id", rows)
-        done = None if done is None else _touched(done, "sqlrecord_id", rows)
+        records = touched(records, "id", rows, "sqlrecord_id")
+        done = None if done is None else touched(done, "sqlrecord_id", rows, "sqlrecord_id")
     rows = _with_records(rows, records, done)
     if done is None:
         nothing = S.lit(None).cast("bigint")

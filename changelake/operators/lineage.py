@@ -14,7 +14,7 @@ from changelake.functions.codes import (
     run_status_code,
 )
 from changelake.functions.references import flow_reference, task_reference, transform_key, valid_scope  # noqa: F401
-from changelake.plans.joins import lookup
+from changelake.plans.joins import lookup, touched
 from changelake.plans.segments import SPAN, numbered, span_of
 
 FLOW_REFERENCE_TYPE = "flow_run"
@@ -87,7 +87,7 @@ def close_runs(runs: DataFrame, outcomes: DataFrame, finished_at: str = "finishe
 
 def _existing(runs: DataFrame, starts: DataFrame) -> DataFrame:
     """Starts with the newest run of their reference: ``__run_id`` and what it is on."""
-    known = latest_flow_run(runs).select(
+    known = latest_flow_run(touched(runs, "reference", starts, "reference")).select(
         S.col("reference").alias("__reference"), S.col("id").alias("__run_id"),
         S.col("space_id").alias("__space"), S.col("branch_id").alias("__branch"),
     )

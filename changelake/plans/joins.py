@@ -43,6 +43,15 @@ def lookup(
     return joined if how in ("left_semi", "left_anti") else joined.drop("__table_hash", *[f"__table_{c}" for c in on.values()])
 
 
+def touched(table: DataFrame, key: str, rows: DataFrame, column: str) -> DataFrame:
+    """The part of a large table whose key is among the values of a column of few rows.
+
+    The values are few enough to be broadcast, by their size, so the table is scanned but not shuffled.
+    """
+    values = rows.select(F.col(column).alias("__touched")).distinct()
+    return table.join(values, F.col(key) == F.col("__touched"), "left_semi")
+
+
 def distinct_ids(df: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct non-null values: duplicates of a hot value go before the shuffle."""
     return df.where(F.col(column).isNotNull()).select(F.col(column).alias(name)).distinct()
