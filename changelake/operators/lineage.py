@@ -188,11 +188,12 @@ def version_transforms(observations: DataFrame, *, order: str = "obs", span: int
     """
     rows = observations.select(order, "key", S.sha2("source", 256).alias("hash"))
     first = rows.groupBy("hash").agg(S.min(order).alias("__first"), S.min_by("key", order).alias("transform_key"))
-    versions = numbered(first, ["transform_key"], ["__first"], "version", span_of(S.col("__first"), span))
-    latest = first.groupBy("transform_key").agg(S.max("__first").alias("__last"))
-    versions = lookup(versions, latest.withColumnRenamed("transform_key", "__key"), {"transform_key": "__key"})
-    versions = versions.select(
-        S.col("hash").alias("__hash_of"), "transform_key", "version", (S.col("__first") == S.col("__last")).alias("is_latest")
+    segment = span_of(S.col("__first"), span)
+    versions = numbered(first, ["transform_key"], ["__first"], "version", segment, "__versions").select(
+        S.col("hash").alias("__hash_of"),
+        "transform_key",
+        "version",
+        (S.col("version") == S.col("__versions")).alias("is_latest"),
     )
     return lookup(rows, versions, {"hash": "__hash_of"}).select(order, "transform_key", "version", "is_latest")
 

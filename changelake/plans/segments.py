@@ -51,9 +51,9 @@ def lead_value(df: DataFrame, keys: Sequence[str], order: str, value: str, out:
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str, segment: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str, segment: Column, total: str | None = None
 ) -> DataFrame:
-    """Add ``out``: the row number (from 1) per key by ``order``.
+    """Add ``out``: the row number (from 1) per key by ``order``, and ``total``: the key's number of rows.
 
     ``segment`` must not decrease along ``order``, for example ``span_of(id)`` when ``order`` is the id.
     Without keys, the whole table is numbered; its one-row-per-segment table is all a single task sees.
@@ -64,7 +64,10 @@ def numbered(
     sizes = _segmented(df, segment).groupBy(*keys, _SEGMENT).agg(F.count(F.lit(1)).alias("__size"))
     across = (W.partitionBy(*keys) if keys else W.partitionBy()).orderBy(_SEGMENT)
     before = F.sum("__size").over(across.rowsBetween(W.unboundedPreceding, -1))
-    sizes = sizes.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__size")
+    columns = {"__before": F.coalesce(before, F.lit(0))}
+    if total is not None:
+        columns[total] = F.sum("__size").over(W.partitionBy(*keys))
+    sizes = sizes.withColumns(columns).drop("__size")
     joined = _attach(rows, sizes, keys)
     return joined.withColumn(out, F.col("__local") + F.col("__before")).drop("__local", "__before")
 
