@@ -137,29 +137,32 @@ def dedupe_stream(
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-class _FireOnce(StatefulProcessor):
-    """Counts a gate's events and reports the id of the ``n``-th, once."""
+def _fire_once(n: int, keys: list[str]) -> StatefulProcessor:
+    """Counts a gate's events and reports the id of the ``n``-th, once.
 
-    def __init__(self, n: int, keys: Sequence[str]) -> None:
-        self.n, self.keys = n, list(keys)
+    A class made in a function travels to the Python workers whole, so they needn't have this package.
+    """
+
+    class FireOnce(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.seen = handle.getValueState("seen", "n long")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "n long")
+        def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+            before = self.seen.get()[0] if self.seen.exists() else 0
+            if before >= n:
+                return
+            missing, total, lowest = n - before, 0, []
+            for frame in rows:  # never more than the missing ids are kept
+                total += len(frame)
+                lowest = heapq.nsmallest(missing, [*lowest, *frame["id"].tolist()])
+            self.seen.update((min(before + total, n),))
+            if before + total >= n:
+                yield pd.DataFrame({**dict(zip(keys, [[k] for k in key], strict=True)), "opened_at": [lowest[-1]]})
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        before = self.seen.get()[0] if self.seen.exists() else 0
-        if before >= self.n:
-            return
-        missing, total, lowest = self.n - before, 0, []
-        for frame in rows:  # never more than the missing ids are kept
-            total += len(frame)
-            lowest = heapq.nsmallest(missing, [*lowest, *frame["id"].tolist()])
-        self.seen.update((min(before + total, self.n),))
-        if before + total >= self.n:
-            yield pd.DataFrame({**dict(zip(self.keys, [[k] for k in key], strict=True)), "opened_at": [lowest[-1]]})
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return FireOnce()
 
 
 def stream_gate(events: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
@@ -171,5 +174,5 @@ def stream_gate(events: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return (
         events.select(*keys, "id")
         .groupBy(*keys)
-        .transformWithStateInPandas(_FireOnce(n, keys), schema, outputMode="Append", timeMode="None")
+        .transformWithStateInPandas(_fire_once(n, list(keys)), schema, outputMode="Append", timeMode="None")
     )
