@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from changelake import queries as named_queries
 from changelake.sources.fixtures import TABLES, VIEWS, duckdb_sql, view
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES = {name: query for name, query in entry_module.queries().items() if name in named_queries.QUERIES}
+ORACLES = named_queries.ORACLES
 
 
 @pytest.fixture(scope="module")
