@@ -48,3 +48,43 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.packing import pack
 
     return packed_digest(pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1, longest=2048))
+
+
+@named("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.huffman import read_tokens, write_tokens
+    from changelake.llm.storage import shared_folder
+
+    folder = shared_folder(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=1)
+    return read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+LINES_SQL = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT r, doc_id, len(lines) AS n_lines, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM doc),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line),
+common AS (SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3),
+marked AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.top AS dropped
+    FROM keyed k LEFT JOIN common c ON c.key = k.key AND length(k.key) >= 20)
+SELECT doc_id, CAST(any_value(n_lines) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
+
+
+@named("op1_line_dedup", LINES_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.line_dedup import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=3, min_chars=20)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@named("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.mixing import mixed, per_row
+
+    mix = mixed(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return per_row(mix).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")

@@ -11,8 +11,9 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -120,30 +121,39 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(docs: DataFrame, path: str, end_id: int, keep: str = "doc_id") -> DataFrame:
-    """Documents as ``part``, ``idx`` (position of a row in its partition), the id column, ``n_tokens`` and ``ids``.
+Batches = Iterator[pa.RecordBatch]
+
+
+def encoded(
+    docs: DataFrame, path: str, end_id: int, then: Callable[[Batches], Batches] | None = None, schema: str | None = None
+) -> DataFrame:
+    """Documents as ``part``, ``idx`` (position of a row in its partition), the id column, ``n_tokens``, ``ids`` and
+    ``before`` (ids of the partition's rows above).
 
     ``ids`` are little-endian unsigned 32-bit ids of the whole text, ``end_id`` last; a null text is empty.
+    ``then`` goes on with these batches in the same task, to rows of ``schema``.
     """
     end = array("I", [end_id]).tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = encoder(path).ids, TaskContext.get().partitionId(), 0
+    def run(batches: Batches) -> Batches:
+        encode, part, at, total = encoder(path).ids, TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 piece = batch.slice(lo, 512)
                 ids = [encode((t or b"").decode("utf-8", "replace")) + end for t in piece.column(1).to_pylist()]
-                n = len(ids)
+                n, sizes = len(ids), [len(x) // 4 for x in ids]
+                before = list(accumulate(sizes, initial=total))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), piece.column(0),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                        pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(before[:-1], pa.int64()),
                     ],
-                    names=["part", "idx", keep, "n_tokens", "ids"],
+                    names=["part", "idx", "doc_id", "n_tokens", "ids", "before"],
                 )
-                at += n
+                at, total = at + n, before[-1]
 
-    kind = docs.schema[keep].dataType.simpleString()
-    return docs.select(keep, F.col("text").cast("binary")).mapInArrow(
-        run, f"part int, idx bigint, `{keep}` {kind}, n_tokens bigint, ids binary"
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.col("text").cast("binary"))
+    if then is not None:
+        return rows.mapInArrow(lambda batches: then(run(batches)), schema)
+    return rows.mapInArrow(run, f"part int, idx bigint, doc_id {kind}, n_tokens bigint, ids binary, before bigint")
