@@ -88,3 +88,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     mix = mixed(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
     return per_row(mix).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+TOP_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@named("op2_top_k", TOP_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.bit_sliced import top_k
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64.0)
