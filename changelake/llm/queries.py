@@ -107,3 +107,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+@named("op4_near_dup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.near_dup import clusters
+
+    found = clusters(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, percent=80)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
