@@ -14,6 +14,7 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?|()"
+_LATIN = re.compile(f"[{_LETTERS}]+")
 _PLAIN = re.compile(rf"[{_LETTERS}]+[{_MARKS}]*(?:\n[{_LETTERS}]+[{_MARKS}]*)*")
 _PIECES = re.compile(rf"[{_LETTERS}]+|[{_MARKS}]+|\n")
 _SAFE_SPACE = re.compile(r"(?<=\S)\x20(?=\S)")
@@ -52,7 +54,9 @@ class Encoder(dict):
         self.tokenizer.encode_special_tokens = True
         self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
         self.spaced = self.model.end_of_word_suffix is None  # a space belongs to the word behind it
-        self.half, self.older, self.pieces = remembered // 2, {}, {}
+        self.half, self.older = remembered // 2, {}
+        self.space = self.alphabet[0x20] if self.spaced else ""
+        self.marks = {mark: self._library(mark) for mark in _MARKS}
 
     def _library(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -64,52 +68,56 @@ class Encoder(dict):
             out.byteswap()
         return out.tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: str, before: str = "") -> bytes:
         """Ids of one pre-token, by the merge model alone."""
-        mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-        return self._bytes([token.id for token in self.model.tokenize(mapped)])
+        if not piece.isascii() or not piece.isalpha():
+            piece = piece.encode().decode("latin-1").translate(self.alphabet)
+        return self._bytes([token.id for token in self.model.tokenize(before + piece)])
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of letters behind a space."""
+        if not self.spaced and not word.islower():
+            return self[word.lower()]
+        return self._piece(word, self.space)
 
     def _chunk(self, chunk: str, spaced: bool) -> bytes:
         if not _PLAIN.fullmatch(chunk):
             return self._library(f" {chunk}" if spaced else chunk)
         if self.spaced:
             first, *rest = _PIECES.findall(chunk)
-            first = f" {first}" if spaced else first
-        else:
-            first, *rest = (piece for piece in _PIECES.findall(chunk.lower()) if piece != "\n")
-        if not rest:
-            return self._piece(first)
-        known, out = self.pieces, []
-        for piece in (first, *rest):
-            ids = known.get(piece)
-            if ids is None:
-                ids = known[piece] = self._piece(piece)
-            out.append(ids)
-        return b"".join(out)
+            return b"".join([self._piece(first, self.space if spaced else ""), *map(self._piece, rest)])
+        return b"".join([self._piece(piece) for piece in _PIECES.findall(chunk.lower()) if piece != "\n"])
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
-            if self.spaced and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
-                raise _Unsafe
-            ids = self._chunk(chunk, self.spaced)
+            word, mark = chunk[:-1], self.marks.get(chunk[-1:])
+            if chunk.isascii() and chunk.isalpha() or _LATIN.fullmatch(chunk):
+                ids = self._word(chunk)
+            elif mark and _LATIN.fullmatch(word):
+                ids = self[word] + mark
+            else:
+                if self.spaced and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+                    raise _Unsafe
+                ids = self._chunk(chunk, self.spaced)
         self[chunk] = ids
         return ids
 
+    def _joined(self, chunks: list[str]) -> bytes:
+        return b"".join(itemgetter(*chunks)(self)) if len(chunks) > 1 else b"".join([self[chunk] for chunk in chunks])
+
     def ids(self, text: str) -> bytes:
         """Ids of a whole text."""
         if len(self) > self.half:
             self.older = dict(self)
             self.clear()
-        if len(self.pieces) > self.half:
-            self.pieces = {}
         chunks = text.split(" ")
         if not self.spaced:
-            return b"".join(map(self.__getitem__, chunks))
+            return self._joined(chunks)
         try:
             if not chunks[0] or chunks[0][-1].isspace():
                 raise _Unsafe
-            return self._chunk(chunks[0], False) + b"".join(map(self.__getitem__, chunks[1:]))
+            return self._chunk(chunks[0], False) + self._joined(chunks[1:])
         except _Unsafe:
             first, *rest = _SAFE_SPACE.split(text)
             return self._library(first) + b"".join([self._library(f" {chunk}") for chunk in rest])
