@@ -116,3 +116,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = clusters(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, percent=80)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+@named("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.outliers import COUNTS, judged
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return judged(docs).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
