@@ -124,3 +124,30 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return judged(docs).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
+
+
+def licence_sql() -> str:
+    from changelake.llm.licences import TEMPLATES, THRESHOLD, plain_words
+
+    rows = ", ".join(f"('{name}', '{' '.join(plain_words(text))}')" for name, text in TEMPLATES.items())
+    pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return f"""
+WITH template AS (SELECT name, {pairs} AS b FROM (SELECT name, string_split(words, ' ') AS w FROM (VALUES {rows}) t(name, words))),
+doc AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS norm FROM documents),
+unit AS (SELECT r, unnest(list_concat(string_split(norm, chr(10)), regexp_split_to_array(norm, '\\n *\\n'), [norm])) AS u FROM doc),
+word AS (SELECT r, regexp_split_to_array(trim(u, ' ' || chr(10)), '[ \\n]+') AS w FROM unit),
+bigram AS (SELECT r, {pairs} AS b FROM word WHERE len(w) >= 2),
+found AS (SELECT u.r, t.name, 2.0 * len(list_intersect(u.b, t.b)) / CAST(len(u.b) + len(t.b) AS DOUBLE) AS dice FROM bigram u, template t),
+best AS (SELECT r, list_sort(list_distinct(list(name))) AS licences, max({{'dice': dice, 'name': name}}) AS m
+    FROM found WHERE dice >= {THRESHOLD} GROUP BY r)
+SELECT d.doc_id, coalesce(b.licences, []) AS licences, b.m.name AS best_licence, CAST(b.m.dice AS DOUBLE) AS best_dice
+FROM doc d LEFT JOIN best b ON b.r = d.r
+"""
+
+
+@named("op5_license_scan", licence_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.licences import scan
+
+    return scan(table(spark, sf_dir, "documents"))
