@@ -151,3 +151,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.licences import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@named("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.suffixes import repeated_spans
+
+    return repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
