@@ -158,3 +158,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.suffixes import repeated_spans
 
     return repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+
+
+@named("op9_transcripts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.transcripts import parsed
+
+    return parsed(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
