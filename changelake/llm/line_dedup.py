@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from changelake.llm.storage import shared_folder
 from changelake.llm.texts import SPACES, lines, lower_ascii
+from changelake.plans.once import computed_once
 
 
 def line_key(line: Column) -> Column:
@@ -144,11 +145,9 @@ def dedup_lines(
     found = found.where(~F.col("__doc").eqNullSafe(F.col("top")))
     drops = found.groupBy("__doc", "__text").agg(F.collect_set("pos").alias("__drop"))
     same = row["doc_id"].eqNullSafe(F.col("__doc")) & row["__row"].eqNullSafe(F.col("__text"))
-    joined = row.join(drops, same, "left")
-    split = lines(F.col("text"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__drop"))
+    joined = computed_once(row.join(drops, same, "left"), __lines=lines(F.col("text")))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drop"))
     rebuilt = F.array_join(F.transform(kept, lambda i: F.get(F.col("__lines"), i)), "\n")
-    joined = joined.withColumn("__lines", split)
     return joined.select(
         *[c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")],
         F.when(F.col("__drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(rebuilt).alias("text"),
