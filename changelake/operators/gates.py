@@ -25,8 +25,8 @@ from changelake.sources.catalog import Catalog
 OPEN, PENDING, FAILED = "success", "pending", "failure"
 
 
-def _check(min_count: int, limit: int) -> None:
-    if min_count < 1 or limit < min_count:
+def _check(min_count: int, limit: int | None) -> None:
+    if min_count < 1 or (limit is not None and limit < min_count):
         raise ValueError("min_count must be at least 1 and limit not below it")
 
 
@@ -43,12 +43,12 @@ def matching_records(
     filter: FilterExpression | None = None,
     *,
     branch: str | int | None = "main",
-    limit: int = 100,
+    limit: int | None = None,
     wait_for_upload: bool | None = None,
 ) -> DataFrame:
-    """The newest ``limit`` matches on the branch, of which those still uploading are then left out."""
+    """Matches on the branch that have been uploaded; with ``limit``, of the newest so many."""
     df = apply_filter(catalog, registry, catalog.load(registry), all_of(filter, on_branch(branch)))
-    df = newest(df, limit)
+    df = df if limit is None else newest(df, limit)
     return df.where(~upload_ongoing(S.col("_aux"))) if _waits(catalog, registry, wait_for_upload) else df
 
 
@@ -59,7 +59,7 @@ def record_gate(
     *,
     branch: str | int | None = "main",
     min_count: int = 1,
-    limit: int = 100,
+    limit: int | None = None,
     wait_for_upload: bool | None = None,
 ) -> DataFrame:
     """The matching records if there are at least ``min_count`` of them, else nothing."""
@@ -67,9 +67,8 @@ def record_gate(
     rows = matching_records(
         catalog, registry, filter, branch=branch, limit=limit, wait_for_upload=wait_for_upload
     )
-    # one window over at most `limit` rows
-    counted = rows.withColumn("__n", S.count(S.lit(1)).over(W.partitionBy()))
-    return counted.where(S.col("__n") >= min_count).drop("__n")
+    enough = rows.agg((S.count(S.lit(1)) >= min_count).alias("__enough")).where("__enough")
+    return rows.join(S.broadcast(enough), S.lit(True), "left_semi")  # one row or none
 
 
 def artifact_gate(
@@ -84,7 +83,7 @@ def artifact_gate(
     filter: FilterExpression | None = None,
     branch: str | int | None = "main",
     min_count: int = 1,
-    limit: int = 100,
+    limit: int | None = None,
     wait_for_upload: bool = True,
 ) -> DataFrame:
     """``record_gate`` for artifacts by the usual criteria."""

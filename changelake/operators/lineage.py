@@ -45,23 +45,25 @@ def orphan_steps(steps: DataFrame, flows: DataFrame, *, on: str = "flow_referenc
     return lookup(steps.where(S.col(on).isNotNull()), table, {on: "__reference"}, "left_anti")
 
 
-def flow_outcome(task_states: DataFrame, members: DataFrame | None = None, own_task: str | None = None) -> DataFrame:
+def flow_outcome(
+    task_states: DataFrame, members: DataFrame | None = None, own_task: str | None = None, scopes: DataFrame | None = None
+) -> DataFrame:
     """``(run_id[, scope], outcome)``: ``errored`` if a member task failed in any map index, else ``completed``.
 
-    Without a list of members, every task but ``own_task`` is one.
+    Without a list of members, every task but ``own_task`` is one. ``scopes`` (``run_id``, ``scope``) lists those to be
+    reported even if they have no member.
     """
     failed = S.coalesce(S.col("state").isin(list(FAILED_STATES)), S.lit(False))
     outcome = S.when(S.bool_or(S.col("__failed")), "errored").otherwise("completed").alias("outcome")
     if members is None:
-        states = task_states if own_task is None else task_states.where(S.col("task_id") != own_task)
-        # a run whose only task is its own is completed
-        runs = task_states.groupBy("run_id").agg(S.bool_or(S.lit(False)).alias("__failed"))
-        rows = states.groupBy("run_id").agg(S.bool_or(failed).alias("__failed"))
-        return runs.unionByName(rows).groupBy("run_id").agg(outcome)
+        counts = S.lit(True) if own_task is None else ~S.col("task_id").eqNullSafe(S.lit(own_task))
+        return task_states.select("run_id", (failed & counts).alias("__failed")).groupBy("run_id").agg(outcome)
     failures = task_states.where(failed).select(S.col("run_id").alias("__run"), S.col("task_id").alias("__task")).distinct()
     failures = failures.withColumn("__failed", S.lit(True))
     rows = lookup(members, failures, {"run_id": "__run", "task_id": "__task"})
-    rows = rows.withColumn("__failed", S.coalesce(S.col("__failed"), S.lit(False)))
+    rows = rows.select("run_id", "scope", S.coalesce(S.col("__failed"), S.lit(False)).alias("__failed"))
+    if scopes is not None:
+        rows = rows.unionByName(scopes.select("run_id", "scope", S.lit(False).alias("__failed")))
     return rows.groupBy("run_id", "scope").agg(outcome)
 
 

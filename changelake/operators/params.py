@@ -12,11 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as S
 
 from changelake.functions import jsoncols as J
+from changelake.plans.joins import lookup
+from changelake.plans.once import computed_once
 
 # The template variables secrets come from.
 SECRET_NAMES = ("var", "conn")
-_SECRET_TEMPLATE = r"\{[{%][^}]*\b(" + "|".join(SECRET_NAMES) + r")\b"
+# a template goes on to its own end, whatever braces are inside
+_SECRET_TEMPLATE = r"(?s)\{\{(?:(?!\}\}).)*?\b(?:NAMES)\b|\{%(?:(?!%\}).)*?\b(?:NAMES)\b".replace("NAMES", "|".join(SECRET_NAMES))
 _ANY_TEMPLATE = r"\{[{%]"
+# braces and percent signs, written as they are or as escapes
+_MAY_BE_TEMPLATE = r"(?:\{|\\u007[bB])(?:[{%]|\\u007[bB]|\\u0025)"
+#: Longest beginning of a secret that is looked up.
+ANCHOR = 16
 
 
 def _values(params: Column) -> Column:
@@ -38,12 +45,16 @@ def exclude_params(df: DataFrame, names: Iterable[str], column: str = "params")
 
 
 def is_templated(text: Column, mode: str) -> Column:
-    """Whether a value's JSON text contains a template of the kind: ``secrets``, ``all`` or ``none``."""
+    """Whether a value's JSON text contains a template of the kind: ``secrets``, ``all`` or ``none``.
+
+    Escapes are read first, as far as they can hide the border of a word.
+    """
     if mode == "none":
         return S.lit(False)
     if mode not in ("secrets", "all"):
         raise ValueError(f"mode is 'secrets', 'all' or 'none', not {mode!r}")
-    return text.rlike(_SECRET_TEMPLATE if mode == "secrets" else _ANY_TEMPLATE)
+    plain = S.regexp_replace(S.replace(text, S.lit("\\\\"), S.lit("/")), r'\\(?:[bfnrt]|u00[01][0-9a-fA-F])', " ")
+    return plain.rlike(_SECRET_TEMPLATE if mode == "secrets" else _ANY_TEMPLATE)
 
 
 def exclude_templated(df: DataFrame, mode: str = "secrets", column: str = "params") -> DataFrame:
@@ -53,38 +64,45 @@ def exclude_templated(df: DataFrame, mode: str = "secrets", column: str = "param
     def plain(_: Column, value: Column) -> Column:
         return ~S.coalesce(is_templated(S.to_json(value), mode), S.lit(False))
 
-    return df.withColumn(column, _kept(S.col(column), plain, is_templated(S.col(column), mode)))
+    return df.withColumn(column, _kept(S.col(column), plain, S.col(column).rlike(_MAY_BE_TEMPLATE)))
+
 
+def exclude_masked(df: DataFrame, secrets: DataFrame, *, secret: str = "secret", column: str = "params") -> DataFrame:
+    """Drop parameters with a known secret anywhere in their value; names don't matter.
 
-def exclude_masked(
-    df: DataFrame, secrets: DataFrame, *, key: str = "id", secret: str = "secret", column: str = "params"
-) -> DataFrame:
-    """Drop parameters whose value contains a known secret; names don't matter.
+    Values are compared as canonical JSON text, at any depth, with secrets escaped in the same way and as they are.
+    A text that isn't an object becomes null if it contains a secret.
 
-    A secret is looked up by its beginning, as long as the largest power of two it has room for, so that there
-    are few lengths of beginnings and long secrets have long ones. Every piece of a value of such a length is
-    looked up among them by equality; what is found is compared in full. Neither side has to fit in a task, and
-    pieces travel without the value they come from.
+    Rows are told apart by their parameters alone, so ids may be null or repeat. A secret is looked up by the hash of
+    its beginning, at most ``ANCHOR`` characters and a power of two of them; every piece of a value of such a length is
+    looked up among these, and what is found is compared in full. Neither side has to fit in a task.
     """
-    known = secrets.where(S.length(secret) > 0).select(S.col(secret).alias("__secret")).distinct()
-    size = S.pow(S.lit(2), S.floor(S.log2(S.length("__secret")))).cast("int")
-    starts = known.withColumn("__start", S.substr("__secret", S.lit(1), size))
-    sizes = known.agg(S.collect_set(size)).scalar()  # one number per power of two
-    values = df.select(S.col(key).alias("__key"), S.explode(_values(S.col(column))).alias("__name", "__value"))
-    # strings are compared as they are, anything else as its JSON text
-    text = S.coalesce(J.as_string(S.col("__value")), S.to_json(S.col("__value")))
-    values = values.select("__key", "__name", text.alias("__text"))
-    pieces = (
-        values.withColumn("__size", S.explode(sizes))
-        .where(S.length("__text") >= S.col("__size"))
-        .withColumn("__at", S.explode(S.sequence(S.lit(1), S.length("__text") - S.col("__size") + 1)))
-        .select("__key", "__name", S.substr("__text", S.col("__at"), S.col("__size")).alias("__start"))
+    named = secrets.where(S.length(secret) > 0).select(S.col(secret).alias("__secret"))
+    escaped = S.to_json(S.col("__secret").cast("variant"))
+    known = named.union(named.select(S.substr(escaped, S.lit(2), S.length(escaped) - 2))).distinct()
+    size = S.least(S.pow(S.lit(2), S.floor(S.log2(S.length("__secret")))), S.lit(ANCHOR)).cast("int")
+    starts = known.select("__secret", S.xxhash64(S.substr("__secret", S.lit(1), size)).alias("__start"))
+    sizes = known.agg(S.collect_set(size)).scalar()  # one number per power of two up to the longest
+    rows = df.withColumns({"__k1": S.xxhash64(column), "__k2": S.xxhash64(S.lit(1), column)})
+    texts = rows.select("__k1", "__k2", S.col(column).alias("__params")).where(S.col("__params").isNotNull()).distinct()
+    found = computed_once(texts, __values=_values(S.col("__params")))
+    whole = S.coalesce(S.to_json(J.parsed(S.col("__params"))), S.col("__params"))
+    entries = S.when(S.col("__values").isNull(), S.array(S.struct(S.lit(None).cast("string").alias("name"), whole.alias("text")))).otherwise(
+        S.transform(S.map_entries("__values"), lambda e: S.struct(e["key"].alias("name"), S.coalesce(S.to_json(e["value"]), S.lit("null")).alias("text")))
     )
-    suspects = pieces.join(starts, "__start").select("__key", "__name", "__secret").distinct()
-    hits = suspects.join(values, ["__key", "__name"]).where(S.col("__text").contains(S.col("__secret")))
-    # at most the parameters of one run per group
-    masked = hits.groupBy("__key").agg(S.collect_set("__name").alias("__masked"))
-    joined = df.join(masked, S.col(key) == S.col("__key"), "left")
+    values = found.select("__k1", "__k2", S.explode(entries).alias("__entry")).select("__k1", "__k2", "__entry.name", "__entry.text")
+    pieces = values.withColumn("__size", S.explode(sizes)).where(S.length("text") >= S.col("__size"))
+    places = S.sequence(S.lit(1), S.length("text") - S.col("__size") + 1)
+    hashed = S.array_distinct(S.transform(places, lambda at: S.xxhash64(S.substr("text", at, S.col("__size")))))
+    pieces = pieces.select("__k1", "__k2", "name", S.explode(hashed).alias("__start"))
+    suspects = pieces.join(starts, "__start").select(
+        S.col("__k1").alias("__m1"), S.col("__k2").alias("__m2"), S.col("name").alias("__name"), "__secret"
+    ).distinct()
+    same = (S.col("__m1") == S.col("__k1")) & (S.col("__m2") == S.col("__k2")) & S.col("__name").eqNullSafe(S.col("name"))
+    hits = suspects.join(values, same).where(S.contains(S.col("text"), S.col("__secret"))).select("__m1", "__m2", "__name")
+    # at most the parameters of one text per group
+    masked = hits.groupBy("__m1", "__m2").agg(S.collect_set("__name").alias("__masked"))
+    joined = lookup(rows, masked, {"__k1": "__m1", "__k2": "__m2"})
     kept = _kept(S.col(column), lambda name, _: ~S.array_contains("__masked", name), S.col("__masked").isNotNull())
     return joined.withColumn(column, kept).select(*df.columns)
 

@@ -11,28 +11,16 @@ One pass over the conditions decides which tables a filter needs:
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as S
 from pyspark.sql import types as T
 
 from changelake.functions import jsoncols as J
-from changelake.plans.filters import And, Condition, FilterExpression, Or
+from changelake.plans.filters import OPERATORS, And, Condition, FilterExpression, Or
 from changelake.plans.joins import distinct_ids
 from changelake.plans.once import computed_once
 from changelake.sources.catalog import Catalog, Registry, Relation
 
-_COMPARE: dict[str, Callable[[Column, Column], Column]] = {
-    "eq": lambda a, b: a == b,
-    "ne": lambda a, b: ~a.eqNullSafe(b),
-    "gt": lambda a, b: a > b,
-    "gte": lambda a, b: a >= b,
-    "lt": lambda a, b: a < b,
-    "lte": lambda a, b: a <= b,
-}
-
-
 # -- conditions on one column --------------------------------------------------------------------------
 
 
@@ -71,7 +59,7 @@ def column_condition(column: Column, kind: T.DataType, operator: str, value) ->
     operand = _operand(kind, value)
     if operand is None:
         return S.lit(operator == "ne")
-    return _COMPARE[operator](column, operand)
+    return OPERATORS[operator].column(column, operand)
 
 
 def json_condition(variant: Column, operator: str, value, *, null_is_notin: bool = False) -> Column:
@@ -101,7 +89,7 @@ def json_condition(variant: Column, operator: str, value, *, null_is_notin: bool
     elif operator in ("startswith", "endswith"):
         found = text.startswith(value) if operator == "startswith" else text.endswith(value)
     else:
-        found = _COMPARE[operator](text if isinstance(value, str) else J.as_number(variant), S.lit(value))
+        found = OPERATORS[operator].column(text if isinstance(value, str) else J.as_number(variant), S.lit(value))
     return S.coalesce(found, S.lit(False))
 
 
@@ -248,7 +236,7 @@ class _Matcher:
                 counts = counts.select(S.col("id").alias(name + "_id"), S.col("n").alias(name))
                 self.df = self.df.join(counts, S.col("id") == S.col(name + "_id"), "left").drop(name + "_id")
             operator = condition.operator.removeprefix("count_")
-            return _COMPARE[operator](S.coalesce(S.col(name), S.lit(0)), S.lit(condition.value))
+            return OPERATORS[operator].column(S.coalesce(S.col(name), S.lit(0)), S.lit(condition.value))
         if any(map(_is_many, relations)):
             ids = related_ids(self.catalog, self.registry, condition, condition.fields)
             name = self._helper()

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # top-k windows keep k rows in every task before the shuffle, also for a large k
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -72,9 +72,9 @@ SELECT DISTINCT a.l_orderkey AS run_id, concat('t',CAST(a.l_linenumber AS STRING
     "source_obs": """
 SELECT conv_id*1000+turn AS obs, concat('dags/',CAST(conv_id%40 AS STRING),'.py') AS key, concat('# v',CAST((conv_id*turn)%150 AS STRING)) AS source FROM conversations""",
     "gate": """
-SELECT CAST(p_partkey AS BIGINT) AS gate_id, CAST(p_partkey%100 AS BIGINT) AS branch_id_ref, concat('src',CAST(p_partkey%25 AS STRING),'/') AS key_prefix, CASE p_partkey%3 WHEN 0 THEN '.csv' WHEN 1 THEN '.parquet' ELSE '.txt' END AS suffix, CAST(p_size%5+1 AS INT) AS min_count FROM part WHERE p_partkey<200""",
+SELECT CAST(p_partkey AS BIGINT) AS gate_id, CAST(p_partkey%100 AS BIGINT) AS branch_id_ref, concat('src',CAST(p_partkey%25 AS STRING),'/') AS key_prefix, CASE p_partkey%3 WHEN 0 THEN '.csv' WHEN 1 THEN '.parquet' ELSE '.txt' END AS suffix, CAST(p_size%5+1 AS INT) AS min_count FROM part""",
     "subscription": """
-SELECT CAST(p_partkey AS BIGINT) AS sub_id, CASE p_partkey%3 WHEN 0 THEN 'reg_artifact' WHEN 1 THEN 'reg_branch' ELSE 'reg_branchblock' END AS table_name, CASE WHEN p_partkey%4=0 THEN 'created' WHEN p_partkey%4=1 THEN 'updated' ELSE 'deleted' END AS event, CASE WHEN p_partkey%5=0 THEN NULL WHEN p_partkey%5=1 THEN CAST(42 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS branch_id FROM part WHERE p_partkey<60""",
+SELECT CAST(p_partkey AS BIGINT) AS sub_id, CASE p_partkey%3 WHEN 0 THEN 'reg_artifact' WHEN 1 THEN 'reg_branch' ELSE 'reg_branchblock' END AS table_name, CASE WHEN p_partkey%4=0 THEN 'created' WHEN p_partkey%4=1 THEN 'updated' ELSE 'deleted' END AS event, CASE WHEN p_partkey%5=0 THEN NULL WHEN p_partkey%5=1 THEN CAST(42 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS branch_id FROM part""",
 }
 
 _SOURCE = {

@@ -1,5 +1,9 @@
+"""Reading the log: every case from tables of values, against plain Python."""
+
 from __future__ import annotations
 
+import fnmatch
+import itertools
 import json
 
 import pytest
@@ -9,180 +13,121 @@ from changelake.functions import codes, jsoncols, patterns
 from changelake.operators import changes as C
 from changelake.plans.filters import F
 from changelake.sources.schemas import WRITE_LOG
-from tests.rows import FEATURE, MAIN, TRASH, table, write
-
-
-def _events(spark, writes, branch):
-    log = table(spark, writes, WRITE_LOG)
-    return [r["event"] for r in C.classify(log, branch).orderBy("id").collect()]
-
-
-CASES = [
-    ("INSERT", None, MAIN, "created"),
-    ("INSERT", None, FEATURE, None),
-    ("UPDATE", {"key": "old"}, MAIN, "updated"),
-    ("UPDATE", {"key": "old"}, FEATURE, None),
-    ("UPDATE", {"branch_id": FEATURE}, MAIN, "created"),
-    ("UPDATE", {"branch_id": TRASH}, MAIN, "created"),
-    ("UPDATE", {"branch_id": MAIN}, TRASH, "deleted"),
-    ("UPDATE", {"branch_id": FEATURE}, TRASH, None),
-    ("UPDATE", {"branch_id": MAIN}, MAIN, "updated"),
-    ("UPDATE", {"branch_id": None}, MAIN, "created"),
-    ("UPDATE", {"branch_id": None}, None, None),
-    ("UPDATE", {"branch_id": MAIN}, None, "deleted"),
-    ("UPDATE", "broken", MAIN, "updated"),
-    ("DELETE", {"id": 1, "branch_id": MAIN}, MAIN, "deleted"),
-    ("DELETE", {"id": 1, "branch_id": TRASH}, TRASH, None),
-    ("DELETE", {"id": 1}, MAIN, "deleted"),
-    ("DELETE", {"id": 1, "branch_id": None}, MAIN, None),
-    ("TRUNCATE", None, MAIN, None),
-]
-
-
-def test_classification_on_a_branch(spark):
-    writes = [write(i, kind, "t", 1, data, branch) for i, (kind, data, branch, _) in enumerate(CASES)]
-    assert _events(spark, writes, MAIN) == [expected for *_, expected in CASES]
-
-
-def test_raw_classification(spark):
-    kinds = ["INSERT", "UPDATE", "DELETE", "TRUNCATE"]
-    writes = [write(i, kind, "t", 1, {"branch_id": MAIN}, TRASH) for i, kind in enumerate(kinds)]
-    assert _events(spark, writes, None) == ["created", "updated", "deleted", None]
-
-
-def test_candidates_are_narrower_than_the_classification(spark):
-    writes = [
-        write(1, "INSERT", "t", 1),
-        write(2, "UPDATE", "t", 1, {"branch_id": FEATURE}),
-        write(3, "INSERT", "t", 1, None, FEATURE),
-        write(4, "UPDATE", "t", 1, {"name": "x"}),
-        write(5, "DELETE", "t", 1, {"branch_id": MAIN}),
-        write(6, "INSERT", "u", 1),
-        write(7, "UPDATE", "t", 1, {"branch_id": None}),
-        write(8, "DELETE", "t", 1, {"branch_id": MAIN}, FEATURE),
-        write(9, "UPDATE", "t", 1, {"branch_id": MAIN}, TRASH),
-        write(10, "UPDATE", "t", 1, {"_aux": '{"so": 1}'}),
-    ]
-    log = table(spark, writes, WRITE_LOG)
+from tests.rows import BIN, HOME, SIDE, frame, history, line, meaning
 
-    def ids(*args, **kwargs):
-        wide = {r["id"] for r in log.where(C.scanned(*args)).collect()}
-        exact = [r["id"] for r in log.where(C.candidates(*args, **kwargs)).orderBy("id").collect()]
-        assert wide >= set(exact)
-        return exact
+ABSENT = object()
 
-    assert ids("t", ["created"], MAIN) == [1, 2]
-    assert ids("t", ["created", "updated"], MAIN) == [1, 2, 4, 7, 10]
-    assert ids("t", ["deleted"], MAIN) == [5, 9]
-    assert ids("t", ["created"], MAIN, wait_for_upload=True) == [1, 2, 10]
-    assert ids("t", ["created"], None) == [1, 3]
-    assert ids("t", ["created"], None, wait_for_upload=True) == [1, 3, 10]
 
-
-def test_parts_of_a_write(spark):
-    log = table(
-        spark,
-        [
-            write(3, "UPDATE", "t", 1, {"size": 1, "hash": "x"}),
-            write(4, "DELETE", "t", 1, {"id": 1}),
-            write(5, "INSERT", "t", 1),
-        ],
-        WRITE_LOG,
-    )
-    rows = log.select(C.changed_fields().alias("f"), C.previous_values().alias("p"), C.summary(log).alias("s")).collect()
-    assert [r["f"] for r in rows] == [["hash", "size"], [], []]
-    assert [json.loads(r["p"]) for r in rows] == [{"size": 1, "hash": "x"}, {"id": 1}, {}]
-    assert rows[0]["s"].asDict()["uid"] == "uid3" and "data" not in rows[0]["s"].asDict()
-
-
-def test_reading_the_log(spark):
-    log = table(spark, [write(i, "INSERT" if i % 2 else "DELETE", "t", i) for i in range(1, 8)], WRITE_LOG)
-    assert [r["id"] for r in C.read_log(log, after_id=3, limit=2).collect()] == [4, 5]
-    assert [r["id"] for r in C.read_log(log, F("event_type") == "INSERT", limit=2, descending=True).collect()] == [7, 5]
-    assert C.latest_id(log).first()[0] == 7
-    assert C.latest_id(log.where("id < 0")).first()[0] == 0
-
-
-def test_upload_completion(spark):
-    data = [
-        ({"_aux": '{"so": 1}'}, True),
-        ({"_aux": '{"so": 1, "ss": 1}'}, True),
-        ({"_aux": {"so": 1}}, True),
-        ({"_aux": {"so": True}}, True),
-        ({"_aux": "null"}, False),
-        ({"_aux": None}, False),
-        ({"_aux": '{"ss": 1}'}, False),
-        ({"_aux": '{"so": "1"}'}, False),
-        ({"_aux": '{"so": 1.0}'}, False),
-        ({"_aux": '{"so": 2}'}, False),
-        ({"_aux": '{"so": "pending"}'}, False),
-        ({"_aux": "not json"}, False),
-        ({"_aux": [1]}, False),
-        ({"_aux": {"so": [1]}}, False),
-        ({"key": "x"}, False),
-        ("broken", False),
+@pytest.mark.parametrize("scope", [None, HOME, SIDE])
+def test_meaning_of_every_write(spark, scope):
+    kinds, before, here = ("INSERT", "UPDATE", "DELETE", "TRUNCATE"), (ABSENT, None, HOME, SIDE, BIN), (None, HOME, SIDE, BIN)
+    rows = [
+        line(i, kind, "t", 1, {"name": "n"} | ({} if b is ABSENT else {"branch_id": b}), h)
+        for i, (kind, b, h) in enumerate(itertools.product(kinds, before, here))
     ]
-    log = table(spark, [write(i, "UPDATE", "t", 1, d) for i, (d, _) in enumerate(data)], WRITE_LOG)
-    got = [r["c"] for r in log.select("id", C.is_upload_completion().alias("c")).orderBy("id").collect()]
-    assert got == [expected for _, expected in data]
-    delete = table(spark, [write(1, "DELETE", "t", 1, {"_aux": '{"so": 1}'})], WRITE_LOG)
-    assert delete.where(C.is_upload_completion()).count() == 0
-    texts = [('{"so": 1}', True), ('"{\\"so\\": 1}"', True), (None, False), ("null", False), ("not json", False), ("[1]", False)]
-    df = spark.createDataFrame(texts, "aux string, expected boolean")
-    assert df.where(jsoncols.upload_ongoing(S.col("aux")) != S.col("expected")).count() == 0
-
-
-@pytest.mark.parametrize("span", [1, 2, 1000])
-def test_field_transitions(spark, span):
-    writes = [
-        write(10, "UPDATE", "b", 5, {"_status_code": 0}),
-        write(11, "UPDATE", "b", 6, {"name": "x"}),
-        write(12, "UPDATE", "b", 5, {"_status_code": 1}),
-        write(13, "UPDATE", "b", 6, {"_status_code": 2}),
-        write(14, "UPDATE", "b", 7, {"_status_code": 2}),
-    ]
-    later = table(spark, [*writes, write(20, "UPDATE", "b", 5, {"_status_code": 2}), write(21, "UPDATE", "b", 9, {"_status_code": 2})], WRITE_LOG)
-    current = spark.createDataFrame([(5, -1), (6, -1)], "id long, _status_code int")
-    log = table(spark, writes, WRITE_LOG)
-
-    def got(**kwargs):
-        rows = C.field_transitions(log, current, span=span, **kwargs).orderBy("id").collect()
-        return [(r["id"], r["previous_value"], r["new_value"]) for r in rows]
+    rows += [line(1000, "UPDATE", "t", 1, "no json"), line(1001, "DELETE", "t", 1, "[1]"), line(1002, "UPDATE", "t", 1, None, SIDE)]
+    got = {r["id"]: r["event"] for r in C.classify(frame(spark, rows, WRITE_LOG), scope).collect()}
+    for r in rows:
+        r["data"] = r["data"] if r["data"] != "[1]" else None
+        assert got[r["id"]] == meaning(r, scope), r
+
+
+@pytest.mark.parametrize("events", [["created"], ["updated"], ["deleted"], ["created", "deleted"], ["created", "updated", "deleted"]])
+def test_candidates_hold_what_they_ask_for(spark, events):
+    rows = history(3, "t", 9, 300) + [line(900, "INSERT", "u", 1)]
+    log = C.classify(frame(spark, rows, WRITE_LOG), HOME)
+    wanted = log.where(C.candidates("t", events, HOME))
+    ids = {r["id"] for r in wanted.collect()}
+    narrow = {r["id"] for r in log.where(C.scanned("t", events, HOME)).collect()}
+    assert ids <= narrow and 900 not in narrow
+    for r in rows[:-1]:
+        on_home = r["branch_id"] == HOME or r["event_type"] == "UPDATE" and "deleted" in events
+        if meaning(r, HOME) in events and on_home and '"branch_id": null' not in (r["data"] or ""):
+            assert r["id"] in ids, r
 
-    assert got() == [(10, 0, 1), (12, 1, -1), (13, 2, -1), (14, 2, None)]
-    assert got(later=later) == [(10, 0, 1), (12, 1, 2), (13, 2, -1), (14, 2, None)]
 
-
-def test_enumerations(spark):
-    df = spark.createDataFrame([(c,) for c in (-2, -1, 0, 1, 2, None, 99)], "code int")
-    names = [r[0] for r in df.select(codes.branch_status(S.col("code"))).collect()]
-    assert names == ["closed", "merged", "standalone", "draft", "review", "standalone", "standalone"]
-    runs = spark.createDataFrame([(c,) for c in (-3, -2, -1, 0, 1, 2, None, 9)], "code int")
-    names = [r[0] for r in runs.select(codes.run_status(S.col("code"))).collect()]
-    assert names == ["scheduled", "restarted", "started", "completed", "errored", "aborted", None, None]
-    back = runs.select(codes.run_status_code(codes.run_status(S.col("code")))).collect()
-    assert [r[0] for r in back] == [-3, -2, -1, 0, 1, 2, None, None]
-    with pytest.raises(ValueError, match="approved"):
-        codes.check_names("approved", codes.BRANCH_STATUS, "to_status")
+def test_parts_of_a_write(spark):
+    rows = [line(1, "UPDATE", "t", 5, {"b": 1, "a": None}, uid="x"), line(2, "INSERT", "t", 5), line(3, "UPDATE", "t", 5, "no json"), line(4, "DELETE", "t", 5, {"a": 1})]
+    log = frame(spark, rows, WRITE_LOG)
+    got = log.orderBy("id").select(C.changed_fields().alias("c"), C.previous_values().alias("p"), C.summary(log).alias("s")).collect()
+    assert [r["c"] for r in got] == [["a", "b"], [], [], []] and [r["p"] for r in got][1] == "{}"
+    assert got[0]["s"].asDict() == {k: v for k, v in rows[0].items() if k != "data"}
+
+
+def test_positions(spark):
+    rows = history(5, "t", 4, 40)
+    log = frame(spark, rows, WRITE_LOG)
+    for after, limit, down in itertools.product((None, 0, 17), (None, 1, 6), (False, True)):
+        found = [r["id"] for r in C.read_log(log, F("event_type").is_in(["INSERT", "DELETE"]), after_id=after, limit=limit, descending=down).collect()]
+        plain = sorted((r["id"] for r in rows if r["event_type"] in ("INSERT", "DELETE") and r["id"] > (after or 0)), reverse=down)[:limit]
+        assert (found if limit else sorted(found, reverse=down)) == plain
+    assert C.latest_id(log).first()[0] == 40 and C.latest_id(log.limit(0)).first()[0] == 0
+
+
+def test_end_of_an_upload(spark):
+    """Only an object, or its text, whose ``so`` is the number 1 or true, was ongoing."""
+    values = [1, True, 0, 2, False, "1", None, [1], {"so": 1}]
+    shapes = [lambda v: {"so": v}, lambda v: {"so": v, "more": 2}, lambda v: json.dumps({"so": v}), lambda v: v, lambda v: [{"so": v}], lambda v: {"os": v}]
+    rows, want = [], {}
+    for i, (shape, v) in enumerate(itertools.product(shapes, values)):
+        aux = shape(v)
+        try:
+            inner = json.loads(aux) if isinstance(aux, str) else aux
+        except ValueError:
+            inner = None
+        so = inner.get("so") if isinstance(inner, dict) else None
+        want[i] = so is True or isinstance(so, int) and so == 1
+        rows.append(line(i, "UPDATE", "t", i, {"_aux": aux}))
+    rows += [line(500, "DELETE", "t", 1, {"_aux": {"so": 1}}), line(501, "UPDATE", "t", 1, {"key": "k"}), line(502, "UPDATE", "t", 1, "no json")]
+    log = frame(spark, rows, WRITE_LOG)
+    assert {r["id"] for r in log.where(C.is_upload_completion()).collect()} == {i for i, ends in want.items() if ends}
+    assert {r["sqlrecord_id"] for r in C.upload_completions(log, "t").collect()} == {i for i, ends in want.items() if ends}
+
+
+@pytest.mark.parametrize(("span", "cut"), [(1, 0), (3, 60), (1000, 100)])
+def test_transitions(spark, span, cut):
+    rows, now = [], {}
+    for r in history(11, "t", 6, 150):
+        value = r["id"] * 7 % 5
+        if r["event_type"] == "UPDATE" and r["id"] % 3:
+            rows.append(r | {"data": json.dumps({"state": now.get(r["sqlrecord_id"])})})
+            now[r["sqlrecord_id"]] = value
+        else:
+            rows.append(r)
+    current = spark.createDataFrame([(k, v) for k, v in now.items() if k != 6], "id long, state int")
+    log = frame(spark, rows, WRITE_LOG)
+    changes = [r for r in rows if r["event_type"] == "UPDATE" and "state" in (r["data"] or "")]
+    want = {}
+    for i, r in enumerate(changes):
+        later = [c for c in changes[i + 1 :] if c["sqlrecord_id"] == r["sqlrecord_id"]]
+        new = json.loads(later[0]["data"])["state"] if later else now[r["sqlrecord_id"]] if r["sqlrecord_id"] != 6 else None
+        want[r["id"]] = (json.loads(r["data"])["state"], new)
+    part = log if not cut else log.where(S.col("id") <= cut)
+    got = C.field_transitions(part, current, "state", later=log if cut else None, span=span).collect()
+    assert {r["id"]: (r["previous_value"], r["new_value"]) for r in got} == {i: v for i, v in want.items() if not cut or i <= cut}
+
+
+def test_codes_and_names(spark):
+    for table, name in ((codes.BRANCH_STATUS, codes.branch_status), (codes.RUN_STATUS, codes.run_status)):
+        df = spark.createDataFrame([(v,) for v in [*table.values(), 99]], "code int")
+        assert {r["code"]: r["name"] for r in df.select("code", name(S.col("code")).alias("name")).where("code <> 99").collect()} == {
+            v: k for k, v in table.items()}
+        assert codes.check_names(list(table), table, "status") == list(table) and codes.check_names(None, table, "status") is None
+        with pytest.raises(ValueError):
+            codes.check_names("no such name", table, "status")
 
 
 def test_globs(spark):
-    cases = [
-        ("release-*", "release-1", True), ("release-*", "Release-1", False), ("release-*", "x-release-1", False),
-        ("fix-?", "fix-12", False), ("[ab]c", "bc", True), ("[!ab]c", "bc", False), ("a[b", "a[b", True),
-        ("a.c", "abc", False), ("*", "a\nb", True), ("a", "a\n", False), ("[]]x", "]x", True), ("[a-c]1", "b1", True),
-        ("a&&b", "a&&b", True), ("[^a]", "^", True), ("*(x)*", "y(x)z", True),
-    ]
-    for pattern, name, expected in cases:
-        df = spark.createDataFrame([(name,)], "name string")
-        assert df.select(patterns.glob_any(S.col("name"), pattern)).first()[0] is expected, (pattern, name)
-    df = spark.createDataFrame([(None,)], "name string")
-    assert df.select(patterns.glob_any(S.col("name"), ["*"])).first()[0] is False
-    assert df.select(patterns.glob_any(S.col("name"), None)).first()[0] is True
-
-
-def test_decode_json(spark):
-    texts = ['"{\\"so\\": 1}"', '{"so": 1}', "not json", '"plain"', "[1, 2]", "3"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r[0] for r in df.select(jsoncols.decode_json(S.col("t"))).collect()]
-    assert got == ['{"so":1}', '{"so":1}', "not json", "plain", "[1,2]", "3"]
+    names = ["release-1", "release-10", "Release-1", "rel", "fix[1]", "fix-1", "a*b", "a.b", "", "x\ny"]
+    globs = ["*", "release-*", "release-?", "fix[[]1]", "fix-[0-9]", "[!r]*", "a[*]b", "a.b", "??", ""]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    for glob in globs:
+        got = {r["name"] for r in df.where(patterns.glob_any(S.col("name"), [glob])).collect()}
+        assert got == {n for n in names if fnmatch.fnmatchcase(n, glob)}, glob
+
+
+def test_json_text_inside_json(spark):
+    values = [1, True, None, "text", [1, "a"], {"k": {"n": 1}}]
+    df = spark.createDataFrame([(i, json.dumps(v), json.dumps(json.dumps(v))) for i, v in enumerate(values)], "id int, once string, twice string")
+    for r in df.select("id", S.to_json(jsoncols.parsed(S.col("once"))).alias("j")).collect():
+        assert r["j"] is None or json.loads(r["j"]) == values[r["id"]]

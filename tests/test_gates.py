@@ -6,7 +6,20 @@ from pyspark.sql import functions as S
 from changelake.operators import gates as G
 from changelake.plans.filters import F
 from changelake.sources.schemas import ARTIFACT, BRANCH
-from tests.rows import FEATURE, artifact, branch, label, make_catalog, table
+from changelake.sources.schemas import BRANCH
+from tests.rows import SIDE as FEATURE
+from tests.rows import catalog_of, row
+from tests.rows import file as artifact
+from tests.rows import frame as table
+from tests.rows import tag as label
+
+
+def make_catalog(spark, writes=(), **records):
+    return catalog_of(spark, writes, **records)
+
+
+def branch(id, name, status):
+    return row(BRANCH, id=id, name=name, _status_code=status)
 
 UPLOADING = '{"so": 1}'
 

@@ -10,7 +10,10 @@ from changelake.operators import cursors as U
 from changelake.plans.filters import F
 from changelake.sources.catalog import Catalog
 from changelake.sources.schemas import USER, WRITE_LOG
-from tests.rows import LABEL, label, table, write
+from tests.rows import TAG as LABEL
+from tests.rows import frame as table
+from tests.rows import line as write
+from tests.rows import tag as label
 
 
 def test_validation(spark):
