@@ -11,7 +11,8 @@ from pyspark.sql import functions as S
 from pyspark.sql import types as T
 
 from changelake.functions import jsoncols as J
-from changelake.plans.joins import touched
+from changelake.functions.codes import DEFAULT_BRANCH_ID
+from changelake.plans.joins import lookup, touched
 from changelake.plans.once import computed_once
 from changelake.plans.segments import hashed_segment, numbered
 
@@ -119,6 +120,36 @@ def _checked_patches(df: DataFrame, patches: DataFrame, patch: str) -> DataFrame
     return computed_once(parsed, reason=reason).drop("__times")
 
 
+def _judged(before: DataFrame, changes: DataFrame, patch: str) -> DataFrame:
+    """Changes with a ``reason`` where the table would refuse them."""
+    fields = [f for f in before.schema if f.name not in ("id", "uid")]
+    known = touched(before, "uid", changes, "uid").select(S.col("uid").alias("__known")).distinct()
+    times = changes.where(S.col("op") == "UPDATE").groupBy(S.col("uid").alias("__uid")).agg(S.count(S.lit(1)).alias("__times"))
+    rows = changes.join(known, S.col("uid") == S.col("__known"), "left")
+    rows = computed_once(lookup(rows, times, {"uid": "__uid"}), __patch=J.parsed(S.col(patch)))
+    is_update = S.col("op") == "UPDATE"
+    has_patch = is_update | ((S.col("op") == "INSERT") & S.col(patch).isNotNull())
+    extra = S.size(S.array_except(J.object_keys(S.col(patch)), S.array(*[S.lit(f.name) for f in before.schema]))) > 0
+    wrong = S.size(_wrong_types(S.col("__patch"), fields)) > 0
+    fixed = S.arrays_overlap(J.object_keys(S.col(patch)), S.array(S.lit("id"), S.lit("uid")))
+    return rows.withColumn(
+        "reason",
+        S.when((S.col("op") != "INSERT") & S.col("__known").isNull(), "unknown uid")
+        .when(is_update & (S.col("__times") > 1), "repeated uid")
+        .when(has_patch & ~S.coalesce(J.type_name(S.col("__patch")).startswith("OBJECT"), S.lit(False)), "malformed")
+        .when(has_patch & (extra | wrong | (is_update & fixed)), "field"),
+    ).drop("__known", "__times", "__patch")
+
+
+def _accepted(before: DataFrame, changes: DataFrame, patch: str) -> DataFrame:
+    return _judged(before, changes, patch).where(S.col("reason").isNull()).drop("reason")
+
+
+def rejected_changes(before: DataFrame, changes: DataFrame, patch: str = "patch") -> DataFrame:
+    """Changes that ``emit_log`` leaves out, with a ``reason``: what ``update_records`` refuses, and unknown records."""
+    return _judged(before, changes, patch).where(S.col("reason").isNotNull())
+
+
 def emit_log(
     before: DataFrame,
     changes: DataFrame,
@@ -127,18 +158,21 @@ def emit_log(
     start_id: int | Column,
     patch: str = "patch",
     digits: int = 4,
+    default_branch: int = DEFAULT_BRANCH_ID,
 ) -> DataFrame:
     """The write-log rows for a set of changes to a table.
 
     ``changes``: ``op`` (``INSERT``, ``UPDATE`` or ``DELETE``), ``uid``, ``sqlrecord_id`` (for inserts),
     ``patch`` (JSON object of the new values) and optionally ``created_at`` and ``created_by_id``. An insert
-    logs no data, an update the previous values of the touched fields, a delete the whole previous row. Ids
+    logs no data and is on ``default_branch`` if it names none, an update the previous values of the touched
+    fields, a delete the whole previous row. Changes that ``rejected_changes`` tells are left out. ``space_id`` and
+    ``run_id`` are those of the changes, else the record's. Ids
     follow ``start_id`` in the order of ``hashed_segment(uid)``, then ``uid``.
     """
+    changes = _accepted(before, changes, patch)
     columns = before.columns
     old = touched(before, "uid", changes, "uid").withColumnsRenamed({c: f"__old_{c}" for c in columns})
     rows = changes.join(old, S.col("uid") == S.col("__old_uid"), "left")
-    rows = rows.where((S.col("op") == "INSERT") | S.col("__old_uid").isNotNull())
     rows = computed_once(rows, __patch=J.parsed(S.col(patch)), __keys=J.object_keys(S.col(patch)))
     pieces = []
     for name in columns:
@@ -149,10 +183,13 @@ def emit_log(
     patched = J.member(S.col("__patch"), "branch_id")
     old_branch = S.col("__old_branch_id") if "branch_id" in columns else S.lit(None).cast("bigint")
     branch = S.when(patched.isNotNull() & (S.col("op") != "DELETE"), J.as_long(patched)).otherwise(old_branch)
+    branch = S.when((S.col("op") == "INSERT") & J.is_null(patched), S.lit(default_branch)).otherwise(branch)
     rows = numbered(rows, [], ["uid"], "__n", hashed_segment("uid", digits))
 
     def given(name: str, kind: str) -> Column:
-        return S.col(name) if name in changes.columns else S.lit(None).cast(kind)
+        known = [S.col(name)] if name in changes.columns else []
+        known += [S.col(f"__old_{name}")] if name in columns and name in ("space_id", "run_id") else []
+        return S.coalesce(*known).cast(kind) if known else S.lit(None).cast(kind)
 
     id_column = (start_id if isinstance(start_id, Column) else S.lit(start_id)) + S.col("__n")
     return rows.select(

@@ -49,9 +49,13 @@ def read_log_stream(
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder for a job's own files, in the shared folder the cluster names.
 
-    Without ``spark.checkpoint.dir``, as in tests, it is a local temporary folder.
+    Where ``spark.checkpoint.dir`` is unset, a session on this machine alone, as in tests, has a temporary folder; on
+    a cluster each executor would write to its own disk, so that is refused.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return tempfile.mkdtemp(prefix=f"{name}-")

@@ -132,3 +132,15 @@ def test_job_keys():
 def test_previous_values_default(spark):
     df = spark.createDataFrame([(None,), ("{}",)], "data string")
     assert df.select(C.previous_values(S.col("data"))).distinct().count() == 1
+
+
+def test_log_and_table_refuse_the_same(spark):
+    before = table(spark, [label(i) for i in range(1, 6)], LABEL)
+    patches = ["broken", '{"name": 5}', '{"colour": 1}', '{"name": "good"}', '{"id": 9}']
+    rows = [("UPDATE", f"u{i}", None, p) for i, p in enumerate(patches, 1)] + [
+        ("INSERT", "n1", 50, '{"name": "new"}'), ("INSERT", "n2", 51, None), ("INSERT", "n3", 52, '{"name": [1]}'), ("DELETE", "gone", None, None)]
+    changes = spark.createDataFrame(rows, "op string, uid string, sqlrecord_id long, patch string")
+    log = A.emit_log(before, changes, table_name="t_label", start_id=0)
+    assert sorted((r["event_type"], r["sqlrecord_id"], r["branch_id"]) for r in log.collect()) == [("INSERT", 50, 1), ("INSERT", 51, 1), ("UPDATE", 4, 1)]
+    reasons = {r["uid"]: r["reason"] for r in A.rejected_changes(before, changes).collect()}
+    assert reasons == {"u1": "malformed", "u2": "field", "u3": "field", "u5": "field", "n3": "field", "gone": "unknown uid"}
