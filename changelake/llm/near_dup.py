@@ -10,8 +10,8 @@ Only components are wanted, so pairs inside one needn't be seen:
 
 1. In each bucket, all nodes are candidates of its least node. Every node's best one is confirmed first, then those that
    would still join two components.
-2. Buckets with nodes of several components are compared in blocks, sketch against sketch; pairs of different
-   components that pass are confirmed and complete the components.
+2. Buckets with nodes of several components are compared in blocks, sketch against sketch, and what passes on full
+   sets at once; as a link makes two components one, a cell gives fewer links than it has rows.
 
 No bucket is cut or skipped: large ones are dealt into blocks that meet in a grid. With 32 bands of 4 samples a pair at
 the threshold of 0.8 is overlooked with a probability of 5e-8.
@@ -38,7 +38,7 @@ from changelake.llm.storage import ship, written
 from changelake.plans.joins import lookup
 
 BANDS, ROWS, BITS = 32, 4, 1024
-BLOCK = 1024
+BLOCK = 4096
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -149,44 +149,62 @@ def _confirmed(percent: int):
         for batch in batches:
             keep = []
             for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(left.as_buffer(), "<u8"), np.frombuffer(right.as_buffer(), "<u8")
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+                keep.append(_similar(np.frombuffer(left.as_buffer(), "<u8"), np.frombuffer(right.as_buffer(), "<u8"), percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets of hashes are similar enough."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _cells(most: int, percent: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        """Pairs of different components in one bucket or two of its blocks whose sketches are close."""
+        """Links that join components, in one bucket or two of its blocks.
+
+        Pairs of different components whose sketches are close are compared on their full sets, each pair in the first
+        band it shares; a link makes its components one, so there are fewer links than rows.
+        """
+        table = table.combine_chunks()
         nodes, sides = table.column("node").to_pylist(), np.array(table.column("side").to_pylist(), np.int64)
         root = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)[1]
         sizes = np.array(table.column("n_shingles").to_pylist(), np.int64)
-        sketches = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64).reshape(len(nodes), -1)
+        words, bands = (np.stack([x.values.to_numpy() for x in table.column(name)]) for name in ("sketch", "keys"))
+        words, band = words.view(np.uint64), key[0].as_py()
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("items")]
         first, second = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
         left, right = [], []
         for i in first:
             js = second[(root[second] != root[i]) & ((sides[second] == 1) | (second > i))]
             js = js[100 * np.minimum(sizes[js], sizes[i]) >= percent * np.maximum(sizes[js], sizes[i])]
-            js = js[np.bitwise_count(sketches[js] ^ sketches[i]).sum(axis=1) < most]
-            left += [nodes[i]] * len(js)
-            right += [nodes[j] for j in js]
+            js = js[np.bitwise_count(words[js] ^ words[i]).sum(axis=1) < most]
+            js = js[bands[i][(bands[js] == bands[i]).argmax(axis=1)] == band]
+            for j in js:
+                if root[j] != root[i] and _similar(sets[i], sets[j], percent):
+                    root[root == root[j]] = root[i]
+                    left.append(nodes[i])
+                    right.append(nodes[j])
         return pa.table({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
 
     return run
 
 
-def _pairs_in_blocks(members: DataFrame, most: int, percent: int, block: int) -> DataFrame:
-    """Rows of ``key``, ``node``, ``root``, ``n_shingles``, ``sketch`` compared inside each key."""
+def _links_in_blocks(members: DataFrame, most: int, percent: int, block: int) -> DataFrame:
+    """Links between components among the rows of each ``key``, in cells of two blocks at most."""
     counts = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     rows = lookup(members, counts, {"key": "key"}, "inner")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # a cell is a pair of blocks; on its diagonal a block meets itself
     side = F.when(F.col("own") < F.col("other"), 0).when(F.col("own") > F.col("other"), 1).otherwise(2)
-    cell = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "node", "root", "n_shingles", "sketch")
-    return cell.groupBy("key", "i", "j").applyInArrow(_cells(most, percent), "a binary, b binary").distinct()
+    cell = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "node", "root", "n_shingles", "sketch", "keys", "items")
+    return cell.groupBy("key", "i", "j").applyInArrow(_cells(most, percent), "a binary, b binary")
 
 
 def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -263,9 +281,10 @@ def clusters(
     rooted = written(rooted.select("key", "node", F.coalesce("root", "node").alias("root")), "near-rooted")
     several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     open_rows = lookup(rooted, several.select(F.col("key").alias("__key")), {"key": "__key"}, "left_semi")
-    open_rows = lookup(open_rows, sketches.select(F.col("node").alias("__n"), "n_shingles", "sketch"), {"node": "__n"}, "inner")
-    pairs = written(_pairs_in_blocks(open_rows, most, percent, block), "near-pairs")
-    links = links.union(confirmed(pairs, "near-last"))
+    full = sets.select(F.col("node").alias("__n"), "items")
+    described = lookup(nodes.select("node", "n_shingles", "sketch", "keys"), full, {"node": "__n"}, "inner").withColumnRenamed("node", "__n")
+    open_rows = lookup(open_rows, described, {"node": "__n"}, "inner")
+    links = links.union(written(_links_in_blocks(open_rows, most, percent, block), "near-last"))
     roots = components(links)
 
     rooted = lookup(ids, roots.select(F.col("node").alias("__n"), "root"), {"node": "__n"})
