@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as S
+from pyspark.sql import types as T
 
 from changelake.functions.codes import (
     BRANCH_STATUS,
@@ -19,6 +21,7 @@ from changelake.functions.codes import (
 from changelake.functions.jsoncols import upload_ongoing
 from changelake.operators.query import artifact_filter, newest, on_branch
 from changelake.plans.filters import FilterExpression, all_of
+from changelake.plans.joins import lookup
 from changelake.plans.matching import apply_filter
 from changelake.sources.catalog import Catalog
 
@@ -67,8 +70,7 @@ def record_gate(
     rows = matching_records(
         catalog, registry, filter, branch=branch, limit=limit, wait_for_upload=wait_for_upload
     )
-    enough = rows.agg((S.count(S.lit(1)) >= min_count).alias("__enough")).where("__enough")
-    return rows.join(S.broadcast(enough), S.lit(True), "left_semi")  # one row or none
+    return rows.where(rows.agg(S.count(S.lit(1)) >= min_count).scalar())
 
 
 def artifact_gate(
@@ -138,63 +140,80 @@ def evaluate_gates(
     gates: DataFrame,
     *,
     branch: int | None = DEFAULT_BRANCH_ID,
-    limit: int = 100,
+    limit: int | None = None,
     wait_for_upload: bool = True,
     internal_kinds: Iterable[str] = INTERNAL_KINDS,
 ) -> DataFrame:
     """Verdict per gate of a table of artifact gates: ``gate_id, n_ready, min_count, verdict``.
 
-    A gate's criteria are its non-null columns among ``key``, ``key_prefix``, ``suffix`` and ``kind``. Of the
-    newest ``limit`` matches those still uploading don't count. A prefix is matched by equality: an artifact
-    offers its key cut to each length that some gate's prefix has, so it only meets gates it matches.
+    A gate's criteria are its non-null columns among ``key``, ``key_prefix``, ``suffix`` and ``kind`` (each of the last
+    two a value or an array of them) and ``branch_id``, without which ``branch`` holds. Matches still uploading don't
+    count; with ``limit``, only the newest so many are looked at, and a gate that wants more can't open.
+
+    Gates with equal criteria are one *criterion*. A criterion is matched by equality on everything it fixes: the whole
+    key, or the key cut to the prefix's length, and each of its suffixes and kinds. An artifact offers one combination
+    for each shape of criteria there is, so it only meets those it matches. Counts are summed before the shuffle.
     """
-    if limit < 1:
+    if limit is not None and limit < 1:
         raise ValueError("limit must be at least 1")
-    columns = set(gates.columns)
-    optional = {name: S.col(name) if name in columns else S.lit(None).cast("string") for name in ("key", "key_prefix", "suffix", "kind")}
-    wanted = gates.select(
-        "gate_id",
-        S.coalesce(optional["key_prefix"], S.lit("")).alias("__prefix"),
-        optional["suffix"].isNotNull().alias("__by_suffix"),
-        S.coalesce(optional["suffix"], S.lit("")).alias("__suffix"),
-        optional["key"].alias("__key"),
-        optional["kind"].alias("__kind"),
-    )
-    # which cuts to offer: one row, no larger than the longest prefix
-    offers = wanted.agg(
-        S.collect_set(S.struct(S.length("__prefix").alias("size"), S.col("__by_suffix").alias("by_suffix")))
-    ).scalar()
-
-    rows = artifacts if branch is None else artifacts.where(S.col("branch_id") == branch)
-    rows = rows.select(
-        "id", "key", "suffix", "kind",
-        (upload_ongoing(S.col("_aux")) if wait_for_upload else S.lit(False)).alias("uploading"),
-    ).withColumn("__offer", S.explode(offers))
-    rows = rows.where((S.col("__offer.size") == 0) | (S.length("key") >= S.col("__offer.size")))
-    rows = rows.select(
-        "*",
-        S.when(S.col("__offer.size") == 0, "").otherwise(S.substr("key", S.lit(1), S.col("__offer.size"))).alias("__cut"),
-        S.when(S.col("__offer.by_suffix"), S.col("suffix")).otherwise("").alias("__end"),
-    )
-    matches = rows.join(
-        wanted,
-        (S.col("__cut") == S.col("__prefix"))
-        & (S.col("__end") == S.col("__suffix"))
-        & (S.col("__offer.by_suffix") == S.col("__by_suffix")),
-    )
-    visible = (S.col("__kind").isNull() & ~is_internal(S.col("kind"), internal_kinds)) | (S.col("kind") == S.col("__kind"))
-    matches = matches.where(visible & (S.col("__key").isNull() | (S.col("key") == S.col("__key"))))
-    # Spark keeps `limit` rows per gate in every task before the shuffle
-    latest = W.partitionBy("gate_id").orderBy(S.col("id").desc())
-    top = matches.select("gate_id", "id", "uploading").withColumn("__rank", S.row_number().over(latest))
-    found = (
-        top.where(S.col("__rank") <= limit)
-        .groupBy("gate_id")
-        .agg(S.count_if(~S.col("uploading")).alias("__n"))
-        .withColumnRenamed("gate_id", "__gate")
-    )
+    types = {f.name: f.dataType for f in gates.schema}
+
+    def listed(name: str) -> Column:
+        if name not in types:
+            return S.lit(None).cast("array<string>")
+        if isinstance(types[name], T.ArrayType):
+            return S.when(S.size(name) > 0, S.array_sort(S.array_distinct(S.col(name))))
+        return S.when(S.col(name).isNotNull(), S.array(name))
+
+    def single(name: str) -> Column:
+        return S.col(name) if name in types else S.lit(None).cast("string")
+
+    own_branch = S.col("branch_id") if "branch_id" in types else S.lit(None)
+    criteria = {
+        "__key": single("key"), "__prefix": S.nullif(single("key_prefix"), S.lit("")), "__suffixes": listed("suffix"), "__kinds": listed("kind"),
+        "__branch": S.coalesce(own_branch, S.lit(branch)).cast("bigint"),
+    }
+    keyed = gates.withColumns(criteria).withColumn("__criterion", S.to_json(S.struct(*criteria)))
+    wanted = keyed.select("__criterion", *criteria).dropDuplicates(["__criterion"])
+    # what a criterion fixes; a key fixes more than a prefix, which is checked afterwards
+    size = S.when(S.col("__key").isNotNull(), S.lit(-1)).otherwise(S.coalesce(S.length("__prefix"), S.lit(0)))
+    shape = S.struct(
+        size.alias("size"), S.col("__suffixes").isNotNull().alias("by_suffix"), S.col("__kinds").isNotNull().alias("by_kind"),
+        S.col("__branch").isNotNull().alias("by_branch"),
+    )
+    none = S.array(S.lit("").cast("string"))
+    wanted = wanted.withColumn("__shape", shape)
+    # one row, no longer than the longest prefix times eight
+    shapes = wanted.agg(S.collect_set("__shape")).scalar()
+    wanted = wanted.withColumn("__w_cut", S.coalesce("__key", "__prefix", S.lit("")))
+    wanted = wanted.withColumn("__w_suffix", S.explode(S.coalesce("__suffixes", none)))
+    wanted = wanted.withColumn("__w_kind", S.explode(S.coalesce("__kinds", none)))
+    wanted = wanted.select(
+        "__criterion", S.col("__shape").alias("__w_shape"), "__w_cut", "__w_suffix", "__w_kind", S.coalesce("__branch", S.lit(0)).alias("__w_branch"),
+        S.col("__prefix").alias("__w_prefix"),
+    )
+
+    uploading = upload_ongoing(S.col("_aux")) if wait_for_upload else S.lit(False)
+    rows = artifacts.select("id", "key", "suffix", "kind", "branch_id", uploading.alias("uploading")).withColumn("__shape", S.explode(shapes))
+    fixed = S.col("__shape.size")
+    rows = rows.where((fixed <= 0) | (S.length("key") >= fixed))
+    rows = rows.withColumns({
+        "__cut": S.when(fixed < 0, S.col("key")).when(fixed == 0, "").otherwise(S.substr("key", S.lit(1), fixed)),
+        "__suffix": S.when(S.col("__shape.by_suffix"), S.col("suffix")).otherwise(""),
+        "__kind": S.when(S.col("__shape.by_kind"), S.col("kind")).otherwise(""),
+        "__branch": S.when(S.col("__shape.by_branch"), S.col("branch_id")).otherwise(S.lit(0)),
+    })
+    rows = rows.where(S.col("__shape.by_kind") | ~is_internal(S.col("kind"), internal_kinds))
+    equal = [S.col(f"__{name}") == S.col(f"__w_{name}") for name in ("cut", "suffix", "kind", "branch", "shape")]
+    matches = rows.join(wanted, reduce(lambda a, b: a & b, equal))
+    matches = matches.where(S.col("__w_prefix").isNull() | S.startswith("key", "__w_prefix"))
+    matches = matches.select("__criterion", "id", "uploading")
+    if limit is not None:  # every task keeps `limit` rows of a criterion before the shuffle
+        latest = W.partitionBy("__criterion").orderBy(S.col("id").desc())
+        matches = matches.withColumn("__rank", S.row_number().over(latest)).where(S.col("__rank") <= limit)
+    found = matches.groupBy(S.col("__criterion").alias("__found")).agg(S.count_if(~S.col("uploading")).alias("__n"))
     n_ready = S.coalesce(S.col("__n"), S.lit(0))
-    return gates.join(found, S.col("gate_id") == S.col("__gate"), "left").select(
+    return lookup(keyed, found, {"__criterion": "__found"}).select(
         "gate_id",
         n_ready.alias("n_ready"),
         "min_count",

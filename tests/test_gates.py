@@ -122,3 +122,28 @@ def test_gate_opened_at(spark):
     events = spark.createDataFrame([(5, "a"), (1, "a"), (3, "a"), (2, "b")], "id long, k string")
     assert [tuple(r) for r in G.gate_opened_at(events, ["k"], 2).collect()] == [("a", 3)]
     assert sorted(map(tuple, G.gate_opened_at(events, ["k"], 1).collect())) == [("a", 1), ("b", 2)]
+
+
+def test_table_of_gates_with_every_criterion(spark):
+    """Against plain Python; no criterion, also an exact key, is matched by a nested loop."""
+    files = [artifact(i, ["in/", "out/", "in/sub/"][i % 3] + f"f{i % 11}" + [".csv", ".txt"][i % 2], [None, "model", "dataset", "__internal_run__"][i % 4],
+                      UPLOADING if i % 5 == 0 else None, [1, FEATURE][i % 7 == 0]) for i in range(400)]
+    cases = [
+        (n, key, prefix, suffix, kind, branch_id, 1 + 40 * (n % 5))
+        for n, (key, prefix, suffix, kind, branch_id) in enumerate(
+            (k, p, s, c, b) for k in (None, "in/f3.csv") for p in (None, "", "in/", "in/f") for s in (None, [".csv"], [".csv", ".txt"])
+            for c in (None, ["model"], ["__internal_run__", "dataset"]) for b in (None, FEATURE)
+        )
+    ]
+    gates = spark.createDataFrame(cases, "gate_id int, key string, key_prefix string, suffix array<string>, kind array<string>, branch_id long, min_count int")
+    result = G.evaluate_gates(make_catalog(spark, artifact=files).load("artifact"), gates)
+    got = {r["gate_id"]: (r["n_ready"], r["verdict"]) for r in result.collect()}
+    for n, key, prefix, suffix, kind, branch_id, least in cases:
+        ready = sum(
+            f["branch_id"] == (branch_id or 1) and (key is None or f["key"] == key) and f["key"].startswith(prefix or "")
+            and (suffix is None or f["suffix"] in suffix) and (f["kind"] in kind if kind else f["kind"] != "__internal_run__") and not f["_aux"]
+            for f in files
+        )
+        assert got[n] == (ready, "success" if ready >= least else "pending"), cases[n]
+    plan = result._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

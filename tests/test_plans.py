@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as S
 
 import __spark_entry__ as entry_module
+from changelake import queries as named_queries
 from changelake.operators import changes as C
 from changelake.operators import events as E
 from changelake.operators import gates as G
@@ -160,11 +161,12 @@ def test_transitions_of_a_hot_record_are_cut_into_segments(spark, hot_catalog):
 
 
 def test_gates_limit_rows_before_the_shuffle(spark, hot_catalog):
-    text = plan(G.gate_opened_at(hot_catalog.log(), ["sqlrecord_id"], 5))
-    assert text.index("Exchange") < text.index("WindowGroupLimit", text.index("Exchange"))
-    gates = spark.createDataFrame([(1, "a", 1)], "gate_id int, key_prefix string, min_count int")
-    table = plan(G.evaluate_gates(hot_catalog.load("artifact"), gates))
-    assert "WindowGroupLimit" in table and "BroadcastNestedLoopJoin" not in table and "CartesianProduct" not in table
+    gates = spark.createDataFrame([(1, None, "a", 1), (2, "k", None, 1), (3, None, None, 1)], "gate_id int, key string, key_prefix string, min_count int")
+    for n in (5, 1500):
+        text = plan(G.gate_opened_at(hot_catalog.log(), ["sqlrecord_id"], n))
+        assert text.index("Exchange") < text.index("WindowGroupLimit", text.index("Exchange"))
+        table = plan(G.evaluate_gates(hot_catalog.load("artifact"), gates, limit=n))
+        assert "WindowGroupLimit" in table and "BroadcastNestedLoopJoin" not in table and "CartesianProduct" not in table
 
 
 def test_latest_run_is_a_partial_aggregate(spark):
@@ -204,7 +206,7 @@ BOUNDED = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_module.queries() if not n.startswith(STREAMS)))
+@pytest.mark.parametrize("name", sorted(n for n in named_queries.QUERIES if not n.startswith(STREAMS)))
 def test_no_query_uses_a_cross_join_or_a_table_wide_window(spark, name):
     text = plan(entry_module.queries()[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
