@@ -133,6 +133,13 @@ def test_unknown_kind_and_scratch_folder(spark, cat, tmp_path):
         streams.batch_operator("nope", cat)
     local = scratch_dir(spark, "x")
     assert local != scratch_dir(spark, "x")
-    cluster = SimpleNamespace(conf={"spark.checkpoint.dir": f"{tmp_path}/"})
+    def session(master, shared=None):
+        own = {} if shared is None else {"spark.checkpoint.dir": shared}
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, getConf=lambda: own))
+
+    cluster = session("spark://host:7077", f"{tmp_path}/")
     assert scratch_dir(cluster, "x").startswith(f"{tmp_path}/x-")
     assert scratch_dir(cluster, "x") != scratch_dir(cluster, "x")
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(session(master), "x")
