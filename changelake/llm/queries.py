@@ -141,7 +141,7 @@ bigram AS (SELECT r, {pairs} AS b FROM word WHERE len(w) >= 2),
 found AS (SELECT u.r, t.name, 2.0 * len(list_intersect(u.b, t.b)) / CAST(len(u.b) + len(t.b) AS DOUBLE) AS dice FROM bigram u, template t),
 best AS (SELECT r, list_sort(list_distinct(list(name))) AS licences, max({{'dice': dice, 'name': name}}) AS m
     FROM found WHERE dice >= {THRESHOLD} GROUP BY r)
-SELECT d.doc_id, coalesce(b.licences, []) AS licences, b.m.name AS best_licence, CAST(b.m.dice AS DOUBLE) AS best_dice
+SELECT d.doc_id, array_to_string(coalesce(b.licences, []), ',') AS licences, b.m.name AS best_licence, CAST(b.m.dice AS DOUBLE) AS best_dice
 FROM doc d LEFT JOIN best b ON b.r = d.r
 """
 
@@ -150,7 +150,8 @@ FROM doc d LEFT JOIN best b ON b.r = d.r
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.licences import scan
 
-    return scan(table(spark, sf_dir, "documents"))
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("licences", F.array_join("licences", ","))
 
 
 @named("op3_suffix_dedup")
