@@ -241,9 +241,10 @@ def clusters(
 
     # buckets of several nodes
     banded = nodes.select("node", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last")
-    members = written(lookup(banded, shared.select("key", "center"), {"key": "key"}, "inner"), "near-buckets")
-    stars = members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
+    shared = banded.groupBy(F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__key")
+    members = written(lookup(banded, shared, {"key": "__key"}, "left_semi"), "near-buckets")
+    centers = members.groupBy(F.col("key").alias("__key")).agg(F.min("node").alias("center"))
+    stars = lookup(members, centers, {"key": "__key"}, "inner").where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     sketches = nodes.select("node", "n_shingles", "sketch")
 
     def named(end: str) -> DataFrame:
