@@ -31,6 +31,16 @@ def g01(spark: SparkSession, sf_dir: str) -> DataFrame:
        SELECT id, key, kind FROM ready WHERE (SELECT count(*) FROM ready) >= 3""",
 )
 def g04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.artifact_gate(catalog(spark, sf_dir), key_prefix="src1", min_count=3, limit=100).select("id", "key", "kind")
+
+
+@named(
+    "g04_artifact_gate_all", ("artifact",),
+    f"""WITH ready AS (SELECT * FROM artifact WHERE starts_with(key, 'src1') AND {_VISIBLE} AND branch_id = 1
+         AND NOT {_UPLOADING})
+       SELECT id, key, kind FROM ready WHERE (SELECT count(*) FROM ready) >= 3""",
+)
+def g04_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.artifact_gate(catalog(spark, sf_dir), key_prefix="src1", min_count=3).select("id", "key", "kind")
 
 
