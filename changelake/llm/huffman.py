@@ -155,14 +155,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
 
-def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 1, segment: int = SEGMENT) -> None:
+def write_tokens(
+    docs: DataFrame, folder: str, path: str, end_id: int = 1, segment: int = SEGMENT, added_tokens: bool = False
+) -> None:
     """Encode all documents with a vocabulary file and write them to the folder."""
     spark = docs.sparkSession
     ship(spark)
     order = ["doc_id", F.xxhash64("text")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = docs.select("doc_id", "text").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    coded = encoded(ranged, path, end_id)
+    coded = encoded(ranged, path, end_id, added_tokens=added_tokens)
     coded.write.option("compression", "zstd").parquet(f"{folder}/ids")
     ids = spark.read.schema(coded.schema).parquet(f"{folder}/ids")
     # at most as many rows as the vocabulary has

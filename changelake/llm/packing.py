@@ -55,7 +55,7 @@ def _cut(longest: int):
     return run
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 1, longest: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 1, longest: int = 2048, added_tokens: bool = False) -> DataFrame:
     """Sequences: ``sequence_id``, ``doc_id``, ``start``, ``length``, ``offset`` (0), ``doc_tokens`` and ``ids``.
 
     ``longest`` is a power of two. Sequence ids count from 0 through the buckets, the longest first, and inside a
@@ -67,7 +67,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, longest: int = 2048) -> Da
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"part int, doc_id {kind}, start bigint, length bigint, doc_tokens bigint, nth bigint, ids binary"
-    pieces = written(encoded(docs, path, end_id, _cut(longest), schema), "packed")
+    pieces = written(encoded(docs, path, end_id, _cut(longest), schema, added_tokens), "packed")
     # a row for each task and length
     counts = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     order = W.orderBy(F.col("length").desc(), "part").rowsBetween(W.unboundedPreceding, -1)

@@ -47,7 +47,8 @@ def packed_digest(sequences: DataFrame) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.packing import pack
 
-    return packed_digest(pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1, longest=2048))
+    docs = table(spark, sf_dir, "documents")
+    return packed_digest(pack(docs, vocabulary("byte_bpe_50k.json"), end_id=1, longest=2048, added_tokens=True))
 
 
 @named("op8_token_files")
@@ -56,7 +57,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.storage import shared_folder
 
     folder = shared_folder(spark, "tokens")
-    write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=1)
+    write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=1, added_tokens=True)
     return read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

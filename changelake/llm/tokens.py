@@ -3,6 +3,9 @@
 The library spends most of its time on words it has seen before. Here a text is cut at single spaces, where the
 pre-tokenisers of both kinds cut as well, and the ids of a chunk are remembered. A chunk of plain letters and marks
 goes to the library's merge model directly, any other through the whole library, so the ids are the library's.
+
+Names of the vocabulary's added tokens (``<|endoftext|>``) are plain text unless ``added_tokens`` is set; then they get
+their own ids, as by the library's default, and a text that holds one goes through the whole library uncut.
 """
 
 from __future__ import annotations
@@ -46,12 +49,14 @@ class _Unsafe(Exception):
 class Encoder(dict):
     """Ids as little-endian unsigned 32-bit bytes; as a dict, of the chunk behind a space."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED, added_tokens: bool = False) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        known = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in known if added_tokens or not token.special]
         self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
         self.spaced = self.model.end_of_word_suffix is None  # a space belongs to the word behind it
         self.half, self.older = remembered // 2, {}
@@ -108,6 +113,8 @@ class Encoder(dict):
 
     def ids(self, text: str) -> bytes:
         """Ids of a whole text."""
+        if any(name in text for name in self.added):
+            return self._library(text)
         if len(self) > self.half:
             self.older = dict(self)
             self.clear()
@@ -124,16 +131,17 @@ class Encoder(dict):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file; tasks in the same worker share it."""
-    return Encoder(path)
+    return Encoder(path, added_tokens=added_tokens)
 
 
 Batches = Iterator[pa.RecordBatch]
 
 
 def encoded(
-    docs: DataFrame, path: str, end_id: int, then: Callable[[Batches], Batches] | None = None, schema: str | None = None
+    docs: DataFrame, path: str, end_id: int, then: Callable[[Batches], Batches] | None = None, schema: str | None = None,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Documents as ``part``, ``idx`` (position of a row in its partition), the id column, ``n_tokens``, ``ids`` and
     ``before`` (ids of the partition's rows above).
@@ -144,7 +152,7 @@ def encoded(
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Batches) -> Batches:
-        encode, part, at, total = encoder(path).ids, TaskContext.get().partitionId(), 0, 0
+        encode, part, at, total = encoder(path, added_tokens).ids, TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 piece = batch.slice(lo, 512)

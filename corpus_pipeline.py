@@ -46,7 +46,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two length; the pieces of each document."""
-    return llm.packed_digest(pack(docs, llm.vocabulary("byte_bpe_50k.json"), end_id=1, longest=2048))
+    return llm.packed_digest(pack(docs, llm.vocabulary("byte_bpe_50k.json"), end_id=1, longest=2048, added_tokens=True))
 
 
 STAGES: list[tuple[str, Stage]] = [
