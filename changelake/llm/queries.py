@@ -155,6 +155,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("licences", F.array_join("licences", ","))
 
 
+@named("op5_license_windows")
+def op5_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.licences import scan_windows
+
+    found = scan_windows(table(spark, sf_dir, "documents"))
+    return found.withColumn("licences", F.array_join("licences", ","))
+
+
 @named("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.suffixes import repeated_spans
