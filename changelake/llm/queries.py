@@ -175,3 +175,33 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from changelake.llm.transcripts import parsed
 
     return parsed(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+MIDDLE_SQL = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+hashed AS (SELECT r, doc_id, t, n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM doc),
+cut AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+part AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM part
+"""
+
+
+@named("op13_fill_middle", MIDDLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.fill_middle import fill_in_middle, restored
+
+    cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=90, spm_percent=20, seed=1)
+    text = restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )

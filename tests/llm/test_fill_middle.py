@@ -1,0 +1,98 @@
+"""Fill-in-middle against plain Python on characters, conversion of cuts, and odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from changelake.llm.fill_middle import Exceptions, fill_in_middle, restored
+from changelake.llm.queries import QUERIES
+
+TEXTS = [
+    "", None, "a", "é", "plain words only", "Ünïcödé ﬁne ΣΑΣ", "日本語 テキスト 🎉🎉", "has <P> inside", "<S>", "x<M>", "< P>", "<", "P><S",
+    "<<PS>M>" * 3, "🎉" * 50, "a🎉" * 5000, "long " * 40_000, "\x00 nul \n\n", "é" * 3 + "a" * 9 + "日",
+]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plainly(doc_id, text):
+    """The contract's row, on Python's characters."""
+    text = text or ""
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[i : i + 8], 16) for i in range(0, 32, 8))
+    n = len(text)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return (doc_id, n, "plain", None, None, sha(text), sha(text))
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = text[:a], text[a:b], text[b:]
+    spm = h4 % 100 < 20
+    out = f"<S>{s}<P>{p}<M>{m}" if spm else f"<P>{p}<S>{s}<M>{m}"
+    return (doc_id, n, "spm" if spm else "psm", a, b - a, sha(out), sha(text))
+
+
+def digests(rows):
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256), F.sha2(restored(F.col("output"), F.col("form")), 256)
+    )
+
+
+def key(row):
+    return (row[0] is None, row[0] or 0, *map(str, row[1:]))
+
+
+@given(st.text(max_size=40), st.data())
+@settings(max_examples=300, deadline=None)
+def test_cuts_in_both_units(text, data):
+    text = text.encode("utf-8", "ignore").decode()
+    at = Exceptions(text.encode())
+    assert at.n_chars == len(text)
+    cuts = np.array(data.draw(st.lists(st.integers(0, len(text)), min_size=1, max_size=5)))
+    want = [len(text[:c].encode()) for c in cuts]
+    assert at.to_bytes(cuts).tolist() == want
+    assert at.to_chars(np.array(want)).tolist() == cuts.tolist()
+
+
+def test_odd_texts_and_ids(spark):
+    rows = [(i - 3, t) for i, t in enumerate(TEXTS * 9)] + [(None, "null id é"), (None, None), (7, "twice"), (7, "twice")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, form string, n int")
+    got = [tuple(r) for r in digests(fill_in_middle(docs.repartition(3))).collect()]
+    assert sorted(got, key=key) == sorted((plainly(*r) for r in rows), key=key)
+    assert {r[2] for r in got} == {"plain", "psm", "spm"}
+
+
+def test_outputs_beyond_a_batch(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"é{i} " * 200) for i in range(300)], "doc_id bigint, text string").coalesce(1)
+    import changelake.llm.fill_middle as module
+
+    monkeypatch.setattr(module, "BATCH_BYTES", 3000)
+    source = docs.select("doc_id", F.col("text").cast("binary"), *[F.lit(i * 37).cast("bigint").alias(f"h{i}") for i in range(4)])
+    batches = source.toArrow().to_batches()
+    out = list(module._cut(90, 20, (b"<P>", b"<S>", b"<M>"))(iter(batches)))
+    assert len(out) > 50 and [i for b in out for i in b.column(0).to_pylist()] == list(range(300))
+
+
+def test_rates_and_no_rows(spark):
+    docs = spark.createDataFrame([(i, "some words here") for i in range(2000)], "doc_id int, text string")
+    forms = {r.form: r["count"] for r in fill_in_middle(docs).groupBy("form").count().collect()}
+    assert abs(forms["plain"] - 200) < 60 and abs(forms["spm"] - 360) < 80
+    assert fill_in_middle(docs.limit(0)).collect() == []
+    none = {r.form for r in fill_in_middle(docs, percent=0).collect()}
+    assert none == {"plain"}
+    own = fill_in_middle(docs, percent=100, spm_percent=100, markers=("[p]", "[s]", "[m]"))
+    text = restored(F.col("output"), F.col("form"), ("[p]", "[s]", "[m]"))
+    assert [tuple(r) for r in own.select("form", text).distinct().collect()] == [("spm", "some words here")]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001"])
+def test_query_reads_the_whole_table(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").collect()
+    got = [tuple(r) for r in QUERIES["op13_fill_middle"](spark, f"/root/testdata/{sf}").collect()]
+    assert sorted(r[:7] for r in got) == sorted(plainly(r.doc_id, r.text) for r in docs)
