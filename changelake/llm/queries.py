@@ -205,3 +205,19 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+COPIES_SQL = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER (PARTITION BY t) AS BIGINT) AS group_size,
+    row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST, r) = 1 AS kept, sha256(t) AS text_sha256
+FROM doc
+"""
+
+
+@named("op12_exact_dedup", COPIES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.cuckoo import copies
+
+    found = copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", F.col("first").alias("kept"), F.lower(F.hex("key")).alias("text_sha256"))

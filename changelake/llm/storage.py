@@ -37,6 +37,23 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in whatever store the path names."""
+    files, at = _folder(spark, path)
+    return files.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store the path names; none is fine."""
+    files, at = _folder(spark, path)
+    files.delete(at, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each application."""
     context = spark.sparkContext
