@@ -221,3 +221,36 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", F.col("first").alias("kept"), F.lower(F.hex("key")).alias("text_sha256"))
+
+
+RESAMPLING_SQL = """
+WITH RECURSIVE lowered AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(t, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM lowered),
+aim AS (SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM benchmark),
+own AS (SELECT r, unnest(words) AS word FROM doc),
+known AS (SELECT DISTINCT word, hex(encode(word)) AS x FROM (SELECT word FROM own UNION ALL SELECT word FROM aim)),
+bits AS (SELECT word, list_transform(range(0, 4 * len(x)), lambda i: (CAST('0x' || x[i // 8 * 2 + 1:i // 8 * 2 + 2] AS BIGINT) >> (i % 8)) & 1) AS b FROM known),
+crc AS (SELECT word, xor(list_reduce(list_concat([4294967295], b),
+    lambda c, bit: xor(c >> 1, CASE WHEN xor(c, bit) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 10000 AS bucket FROM bits),
+s AS (SELECT bucket, count(*) AS n FROM own JOIN crc USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM aim JOIN crc USING (word) GROUP BY bucket),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM own) + 10000)
+    / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM aim) + 10000)))) AS BIGINT) AS g FROM s FULL JOIN t USING (bucket)),
+weighed AS (SELECT r, CAST(sum(g) AS BIGINT) AS w FROM own JOIN crc USING (word) JOIN gain USING (bucket) GROUP BY r),
+scored AS (SELECT r, doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(w, 0) AS weight, coalesce(w, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM doc LEFT JOIN weighed USING (r)),
+ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN rank <= n * 10 // 100 THEN rank END AS BIGINT) AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""
+
+
+@named("op11_resampling", RESAMPLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changelake.llm.importance import resampled
+
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = resampled(docs, target, percent=10, min_words=20, sizes=(1, 1), n_buckets=10_000, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
