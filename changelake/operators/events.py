@@ -25,6 +25,7 @@ from changelake.functions.codes import (
 from changelake.functions.patterns import glob_any
 from changelake.operators import changes as C
 from changelake.operators.query import artifact_filter, branch_id
+from changelake.operators.subscriptions import delivered, interned, match_criteria
 from changelake.plans.filters import FilterExpression, is_local
 from changelake.plans.joins import lookup, touched
 from changelake.plans.matching import apply_filter, previous_row_matches
@@ -429,64 +430,13 @@ def batch_events(
     )
 
 
-def match_subscriptions(log: DataFrame, subscriptions: DataFrame, *, prefilter: bool = False) -> DataFrame:
-    """Log rows that concern each of many subscriptions at once.
+def match_subscriptions(
+    log: DataFrame, subscriptions: DataFrame, *, prefilter: bool = True, branchless: Iterable[str] = ()
+) -> DataFrame:
+    """Log rows that concern each of many subscriptions: ``sub_id``, ``event``, the log's columns and ``changed_fields``.
 
-    ``subscriptions`` has ``sub_id``, ``table_name``, ``event`` or an array ``events``, ``branch_id`` (null for
-    all branches) and optionally an array ``changed_fields``. A write can concern a branch in at most two ways
-    (the one it is on and the one it left), so each row is spread to these and joined by equality.
-    ``prefilter`` applies the rules of ``candidates`` too.
+    The product of ``match_criteria`` and membership, for callers that want a row for each subscriber; see
+    ``subscriptions`` for what a subscription is and for tables that don't grow with the subscribers.
     """
-    subs = subscriptions
-    if "events" in subs.columns:
-        subs = subs.withColumn("__asked", S.col("events")).withColumn("event", S.explode("events"))
-    else:
-        subs = subs.withColumn("__asked", S.array("event"))
-    if "changed_fields" not in subs.columns:
-        subs = subs.withColumn("changed_fields", S.lit(None).cast("array<string>"))
-    subs = subs.select(
-        "sub_id", S.col("table_name").alias("__table"), S.col("event").alias("__event"), "__asked",
-        S.col("changed_fields").alias("__fields"), S.col("branch_id").isNull().alias("__any"),
-        S.coalesce(S.col("branch_id").cast("bigint"), S.lit(0)).alias("__branch"),
-    )
-
-    data = S.col("__data")
-    previous = J.member(data, "branch_id")
-    kind, here, moved = S.col("event_type"), S.col("branch_id").cast("bigint"), C.moved(data)
-    deleted_on = S.when(previous.isNotNull(), J.as_long(previous)).otherwise(here)
-    on_log_branch = deleted_on.eqNullSafe(here) if prefilter else S.lit(True)
-    from_nowhere = moved & S.is_variant_null(previous) if prefilter else S.lit(False)
-
-    def meaning(event: str, branch: Column, when: Column, any_branch: bool = False, late: Column | None = None) -> Column:
-        return S.when(
-            when,
-            S.struct(
-                S.lit(event).alias("event"), S.lit(any_branch).alias("any_branch"),
-                S.coalesce(branch, S.lit(0)).alias("branch"), (S.lit(False) if late is None else late).alias("late"),
-            ),
-        )
-
-    meanings = S.array(
-        *[meaning(name, S.lit(0).cast("bigint"), kind == raw, True) for raw, name in C.RAW_EVENTS.items()],
-        meaning("created", here, (kind == "INSERT") & here.isNotNull()),
-        meaning("created", here, (kind == "UPDATE") & moved & here.isNotNull(), late=from_nowhere),
-        meaning("deleted", J.as_long(previous), (kind == "UPDATE") & moved & J.as_long(previous).isNotNull()),
-        meaning("updated", here, (kind == "UPDATE") & ~moved & here.isNotNull()),
-        meaning("deleted", deleted_on, (kind == "DELETE") & deleted_on.isNotNull() & on_log_branch),
-    )
-    # rows no subscription can be about don't get past the scan
-    rows = log.where(S.col("event_type").isin(list(C.RAW_EVENTS)))
-    rows = C.with_parsed_data(rows).withColumn("__meaning", S.explode(S.array_compact(meanings)))
-    rows = rows.withColumn("changed_fields", C.changed_fields()).drop("__data")
-    joined = rows.join(
-        subs,
-        (S.col("table_name") == S.col("__table"))
-        & (S.col("__meaning.event") == S.col("__event"))
-        & (S.col("__meaning.any_branch") == S.col("__any"))
-        & (S.col("__meaning.branch") == S.col("__branch")),
-    )
-    overlap = (
-        S.col("__fields").isNull() | (S.col("__event") != "updated") | S.arrays_overlap("changed_fields", "__fields")
-    )
-    asked = ~S.col("__meaning.late") | S.array_contains("__asked", "updated")
-    return joined.where(overlap & asked).select("sub_id", S.col("__event").alias("event"), *rows.drop("__meaning").columns)
+    criteria, membership = interned(subscriptions, branchless)
+    return delivered(match_criteria(log, criteria, prefilter=prefilter), membership)

@@ -10,6 +10,7 @@ from changelake.functions.jsoncols import decode_json
 from changelake.functions.patterns import glob_any
 from changelake.operators import changes as C
 from changelake.operators import events as E
+from changelake.operators import subscriptions as U
 from changelake.plans.filters import F
 from changelake.queries import named
 from changelake.sources.catalog import Catalog, Registry
@@ -432,10 +433,57 @@ def c32(spark: SparkSession, sf_dir: str) -> DataFrame:
          WHEN event_type = 'DELETE' THEN CASE WHEN CASE WHEN has_branch THEN was ELSE l.branch_id END = s.branch_id THEN 'deleted' END END""",
 )
 def c33(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = E.match_subscriptions(_log(spark, sf_dir), view(spark, sf_dir, "subscription"))
+    pairs = E.match_subscriptions(_log(spark, sf_dir), view(spark, sf_dir, "subscription"), prefilter=False)
     return pairs.select("sub_id", "id", "event")
 
 
+# a watcher's own rules: branches only where the registry has some, deletes logged on the branch, fields of updates
+_WATCHED_SQL = f"""{_PARSED}, asked AS (SELECT *, CASE WHEN table_name <> 'reg_branch' THEN branch_id END AS b FROM watcher),
+       met AS (SELECT w.*, l.id, l.data, CASE WHEN w.b IS NULL THEN {_RAW}
+         WHEN event_type = 'INSERT' THEN CASE WHEN l.branch_id = w.b THEN 'created' END
+         WHEN event_type = 'UPDATE' AND has_branch AND was IS DISTINCT FROM l.branch_id
+           THEN CASE WHEN l.branch_id = w.b THEN CASE WHEN was IS NOT NULL OR list_contains(w.events, 'updated') THEN 'created' END
+             WHEN was = w.b THEN 'deleted' END
+         WHEN event_type = 'UPDATE' THEN CASE WHEN l.branch_id = w.b THEN 'updated' END
+         WHEN event_type = 'DELETE' THEN CASE WHEN l.branch_id = w.b AND (NOT has_branch OR was = w.b) THEN 'deleted' END END AS event
+         FROM parsed l JOIN asked w ON w.table_name = l.table_name),
+       pairs AS (SELECT * FROM met WHERE list_contains(events, event)
+         AND (event <> 'updated' OR changed_fields IS NULL OR list_has_any(json_keys(data), changed_fields)))"""
+
+
+def _criteria(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    branchless = U.tables_without_branches(catalog(spark, sf_dir))
+    return U.interned(view(spark, sf_dir, "watcher"), [name for name in branchless if name != "reg_user"])
+
+
+@named(
+    "c33_criteria_matches", ("write_log", "watcher"),
+    f"""WITH {_WATCHED_SQL} SELECT DISTINCT table_name, array_to_string(list_sort(events), ',') AS events, b AS branch_id,
+         CASE WHEN list_contains(events, 'updated') THEN array_to_string(list_sort(changed_fields), ',') END AS changed_fields, id, event FROM pairs""",
+)
+def c33_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    criteria, _ = _criteria(spark, sf_dir)
+    matches = U.match_criteria(_log(spark, sf_dir).select("id", "table_name", "event_type", "branch_id", "data"), criteria)
+    asked = criteria.select(
+        S.col("criterion").alias("of"), S.col("table_name").alias("registry"), _joined(S.col("events")).alias("events"),
+        S.col("branch_id").alias("on_branch"), S.array_join("changed_fields", ",").alias("fields"),
+    )
+    rows = matches.select("criterion", "id", "event").join(asked, S.col("criterion") == S.col("of"))
+    return rows.select(
+        S.col("registry").alias("table_name"), "events", S.col("on_branch").alias("branch_id"), S.col("fields").alias("changed_fields"), "id", "event")
+
+
+@named(
+    "c33_watcher_totals", ("write_log", "watcher"),
+    f"""WITH {_WATCHED_SQL} SELECT w.sub_id, count(p.id) AS n_events, min(p.id) AS first_id, max(p.id) AS last_id
+       FROM watcher w LEFT JOIN pairs p ON p.sub_id = w.sub_id AND p.id > coalesce(w.start_id, 0) GROUP BY w.sub_id""",
+)
+def c33_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    criteria, membership = _criteria(spark, sf_dir)
+    log = _log(spark, sf_dir).select("id", "table_name", "event_type", "branch_id", "data")
+    return U.totals(U.match_criteria(log, criteria), membership).drop("criterion")
+
+
 @named(
     "x01_custom_events", ("write_log", "app_user"),
     """SELECT l.id, 'purged' AS event, json_extract_string(l.data, '$.key') AS key, u.handle AS actor_handle
@@ -511,6 +559,31 @@ def s11_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocks(_streamed(spark, sf_dir, "block"))
 
 
+def _in_files(spark: SparkSession, sf_dir: str, n: int = 4) -> DataFrame:
+    """The log as a stream of files in the order of its ids, each a micro-batch."""
+    folder, log = scratch_dir(spark, "log"), _log(spark, sf_dir)
+    low, high = log.agg(S.min("id"), S.max("id")).first()
+    for i in range(n):
+        part = S.col("id").between(low + (high - low + 1) * i // n, low + (high - low + 1) * (i + 1) // n - 1)
+        log.where(part).coalesce(1).write.mode("append").parquet(folder)
+    return read_log_stream(spark, folder, max_files=1)
+
+
+@named(
+    "s11_stream_subscriptions", ("write_log", "watcher"),
+    f"""WITH {_WATCHED_SQL} SELECT sub_id, event, count(*) AS n_events, min(id) AS first_id, max(id) AS last_id
+       FROM pairs WHERE id > coalesce(start_id, 0) GROUP BY sub_id, event""",
+)
+def s11_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, checkpoint = scratch_dir(spark, "events"), scratch_dir(spark, "checkpoint")
+    streams.stream_events(
+        "subscriptions", _in_files(spark, sf_dir), catalog(spark, sf_dir), out, checkpoint,
+        subscriptions=view(spark, sf_dir, "watcher"), branchless=["reg_branch"],
+    ).awaitTermination()
+    events = spark.read.parquet(f"{out}/batch=*")
+    return events.groupBy("sub_id", "event").agg(S.count("id").alias("n_events"), S.min("id").alias("first_id"), S.max("id").alias("last_id"))
+
+
 @named("s14_stream_dedupe", ("write_log",), "SELECT id, event_type FROM write_log")
 def s14(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _stream(spark, sf_dir)

@@ -75,13 +75,19 @@ SELECT conv_id*1000+turn AS obs, concat('dags/',CAST(conv_id%40 AS STRING),'.py'
 SELECT CAST(p_partkey AS BIGINT) AS gate_id, CAST(p_partkey%100 AS BIGINT) AS branch_id_ref, concat('src',CAST(p_partkey%25 AS STRING),'/') AS key_prefix, CASE p_partkey%3 WHEN 0 THEN '.csv' WHEN 1 THEN '.parquet' ELSE '.txt' END AS suffix, CAST(p_size%5+1 AS INT) AS min_count FROM part""",
     "subscription": """
 SELECT CAST(p_partkey AS BIGINT) AS sub_id, CASE p_partkey%3 WHEN 0 THEN 'reg_artifact' WHEN 1 THEN 'reg_branch' ELSE 'reg_branchblock' END AS table_name, CASE WHEN p_partkey%4=0 THEN 'created' WHEN p_partkey%4=1 THEN 'updated' ELSE 'deleted' END AS event, CASE WHEN p_partkey%5=0 THEN NULL WHEN p_partkey%5=1 THEN CAST(42 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS branch_id FROM part""",
+    "watcher": """
+SELECT CAST(p_partkey AS BIGINT) AS sub_id, CASE p_partkey%3 WHEN 0 THEN 'reg_artifact' WHEN 1 THEN 'reg_branch' ELSE 'reg_branchblock' END AS table_name,
+  CASE p_partkey%4 WHEN 0 THEN array('created') WHEN 1 THEN array('created','updated') WHEN 2 THEN array('deleted','updated') ELSE array('updated','deleted','created') END AS events,
+  CASE p_partkey%5 WHEN 0 THEN NULL WHEN 1 THEN CAST(42 AS BIGINT) WHEN 2 THEN CAST(-1 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS branch_id,
+  CASE p_partkey%7 WHEN 0 THEN array('key','size') WHEN 1 THEN array('_aux','key') WHEN 2 THEN array('branch_id') ELSE NULL END AS changed_fields,
+  CASE WHEN p_partkey%2=0 THEN CAST(p_partkey%11*83 AS BIGINT) ELSE NULL END AS start_id FROM part""",
 }
 
 _SOURCE = {
     "write_log": ["events"], "artifact": ["documents"], "branch": ["supplier"], "branchblock": ["conversations"],
     "app_user": ["customer"], "run": ["orders"], "run_input": ["lineitem"], "task_state": ["lineitem"],
     "scope_member": ["lineitem"], "task_edge": ["lineitem"], "source_obs": ["conversations"], "gate": ["part"],
-    "subscription": ["part"],
+    "subscription": ["part"], "watcher": ["part"],
 }
 
 _RELATIONS = {
@@ -106,7 +112,7 @@ _JSON_FIELDS = {"artifact": frozenset(), "run": frozenset()}
 
 def duckdb_sql(view: str) -> str:
     """The SELECT of a view in DuckDB's spelling."""
-    return VIEWS[view].strip().replace('\\\\"', '\\"')
+    return VIEWS[view].strip().replace('\\\\"', '\\"').replace("array(", "list_value(")
 
 
 def with_views(*views: str) -> str:

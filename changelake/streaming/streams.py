@@ -18,7 +18,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from changelake.operators.changes import upload_completions
-from changelake.operators.events import artifact_events, block_events, custom_events, record_events, status_events
+from changelake.operators.events import (
+    artifact_events,
+    block_events,
+    custom_events,
+    match_subscriptions,
+    record_events,
+    status_events,
+)
 from changelake.sources.catalog import Catalog
 
 Sink = Callable[[DataFrame, int], None]
@@ -90,9 +97,11 @@ def batch_operator(
         return lambda log, _: status_events(catalog, log=log, later=catalog.log(), **options)
     if kind == "block":
         return lambda log, _: block_events(catalog, log=log, **options)
+    if kind == "subscriptions":
+        return lambda log, _: match_subscriptions(log, **options)
     if kind == "custom":
         return lambda log, _: custom_events(catalog, log=log, **options)
-    raise ValueError(f"unknown kind {kind!r}; known: record, artifact, status, block, custom")
+    raise ValueError(f"unknown kind {kind!r}; known: record, artifact, status, block, subscriptions, custom")
 
 
 def stream_events(
@@ -110,6 +119,9 @@ def stream_events(
     Events of a batch are written before its position is committed: at least once, exactly once with the
     Parquet sink. Without ``interval``, what is there is read and the query ends. A batch reads the log from
     its own start on, so let the batch operator report a long past and start the stream behind it.
+
+    The kind ``subscriptions`` serves a whole table of watchers from one stream: start it at the least of their
+    positions and give each its own as ``start_id``.
     """
     write = parquet_sink(sink) if isinstance(sink, str) else sink
     operator = batch_operator(kind, catalog, f"{checkpoint.rstrip('/')}-completions", **options)
