@@ -12,18 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as S
 
 from changelake.functions import jsoncols as J
+from changelake.functions.templates import scanned, string_leaves
 from changelake.plans.joins import lookup
-from changelake.plans.once import computed_once
+from changelake.plans.once import computed_once, let
 
 # The template variables secrets come from.
 SECRET_NAMES = ("var", "conn")
-# a template goes on to its own end, whatever braces are inside
-_SECRET_TEMPLATE = r"(?s)\{\{(?:(?!\}\}).)*?\b(?:NAMES)\b|\{%(?:(?!%\}).)*?\b(?:NAMES)\b".replace("NAMES", "|".join(SECRET_NAMES))
-_ANY_TEMPLATE = r"\{[{%]"
 # braces and percent signs, written as they are or as escapes
 _MAY_BE_TEMPLATE = r"(?:\{|\\u007[bB])(?:[{%]|\\u007[bB]|\\u0025)"
-#: Longest beginning of a secret that is looked up.
-ANCHOR = 16
+#: Characters of a secret's anchor, bits of the map that all anchors are in, characters of a text that are cut at once,
+#: and texts that tell which pieces are rare.
+GRAM, BITS, CHUNK, SAMPLE = 6, 1 << 18, 256, 10_000
 
 
 def _values(params: Column) -> Column:
@@ -45,16 +44,18 @@ def exclude_params(df: DataFrame, names: Iterable[str], column: str = "params")
 
 
 def is_templated(text: Column, mode: str) -> Column:
-    """Whether a value's JSON text contains a template of the kind: ``secrets``, ``all`` or ``none``.
+    """Whether a string in a value's JSON text is a template of the kind: ``secrets``, ``all`` or ``none``.
 
-    Escapes are read first, as far as they can hide the border of a word.
+    Strings are scanned one by one; those without an opening, or without a secret's name, are passed over.
     """
     if mode == "none":
         return S.lit(False)
     if mode not in ("secrets", "all"):
         raise ValueError(f"mode is 'secrets', 'all' or 'none', not {mode!r}")
-    plain = S.regexp_replace(S.replace(text, S.lit("\\\\"), S.lit("/")), r'\\(?:[bfnrt]|u00[01][0-9a-fA-F])', " ")
-    return plain.rlike(_SECRET_TEMPLATE if mode == "secrets" else _ANY_TEMPLATE)
+    secrets = mode == "secrets"
+    worth = r"(?s)\{[{%].*\b(?:NAMES)\b".replace("NAMES", "|".join(SECRET_NAMES)) if secrets else r"\{[{%]"
+    leaves = S.filter(string_leaves(text), lambda leaf: leaf.rlike(worth))
+    return S.exists(leaves, lambda leaf: scanned(leaf, SECRET_NAMES if secrets else ())["named" if secrets else "any"])
 
 
 def exclude_templated(df: DataFrame, mode: str = "secrets", column: str = "params") -> DataFrame:
@@ -67,22 +68,65 @@ def exclude_templated(df: DataFrame, mode: str = "secrets", column: str = "param
     return df.withColumn(column, _kept(S.col(column), plain, S.col(column).rlike(_MAY_BE_TEMPLATE)))
 
 
+def _anchors(secrets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Each secret with ``size`` and ``anchor``, the hash of the rarest of its pieces of ``GRAM`` characters.
+
+    A shorter secret is its own piece. How rare a piece is comes from a bounded sample of texts (``SAMPLE``); it decides
+    how many places are looked at twice, not what is found.
+    """
+    size = S.least(S.length("__secret"), S.lit(GRAM))
+    pieces = secrets.select("__secret", size.alias("size"), S.explode(S.sequence(S.lit(1), S.length("__secret") - size + 1)).alias("at"))
+    pieces = pieces.withColumn("anchor", S.xxhash64(S.substr("__secret", S.col("at"), S.col("size"))))
+    sizes = secrets.agg(S.collect_set(size)).scalar()  # at most as many as ``GRAM``
+    sampled = texts.limit(SAMPLE).select(S.explode(_chunks(S.substr("text", S.lit(1), S.lit(CHUNK)))).alias("chunk"))
+    usual = _places(sampled, sizes).groupBy(S.col("hash").alias("__hash")).agg(S.count(S.lit(1)).alias("n"))
+    rated = lookup(pieces, usual, {"anchor": "__hash"})
+    best = S.min_by(S.struct("size", "anchor"), S.struct(S.coalesce("n", S.lit(0)), "at"))
+    return rated.groupBy("__secret").agg(best.alias("best")).select("__secret", "best.size", "best.anchor")
+
+
+def _chunks(text: Column) -> Column:
+    """A text in pieces of ``CHUNK`` characters, each with the beginning of the next."""
+
+    def joined(parts: Column) -> Column:
+        def with_next(part: Column, i: Column) -> Column:
+            return S.concat(part, S.coalesce(S.substr(S.get(parts, i + 1), S.lit(1), S.lit(GRAM - 1)), S.lit("")))
+
+        return S.transform(parts, with_next)
+
+    return let(S.regexp_extract_all(text, S.lit(f"(?s).{{1,{CHUNK}}}"), S.lit(0)), joined)
+
+
+def _places(chunks: DataFrame, sizes: Column) -> DataFrame:
+    """``hash`` of the pieces of all sizes at all places of the column ``chunk``."""
+    spread = chunks.withColumn("__size", S.explode(sizes)).where(S.length("chunk") >= S.col("__size"))
+    spread = spread.withColumn("__at", S.explode(S.sequence(S.lit(1), S.length("chunk") - S.col("__size") + 1)))
+    return spread.withColumn("hash", S.xxhash64(S.substr("chunk", S.col("__at"), S.col("__size")))).drop("__at", "__size", "chunk")
+
+
+def _bit_map(anchors: DataFrame) -> Column:
+    """The hashes in a bit map of ``BITS`` bits, as an array of 64-bit words that is the same for every row."""
+    at = S.pmod("anchor", S.lit(BITS))
+    words = anchors.groupBy(S.shiftright(at, 6).alias("word")).agg(S.bit_or(S.expr(f"shiftleft(1L, cast(pmod(anchor, {BITS}) & 63 AS INT))")).alias("bits"))
+    table = words.agg(S.map_from_entries(S.collect_list(S.struct("word", "bits"))).alias("m"))
+    every = S.sequence(S.lit(0).cast("bigint"), S.lit(BITS // 64 - 1).cast("bigint"))
+    return table.select(S.transform(every, lambda w: S.coalesce(S.element_at("m", w), S.lit(0).cast("bigint")))).scalar()
+
+
 def exclude_masked(df: DataFrame, secrets: DataFrame, *, secret: str = "secret", column: str = "params") -> DataFrame:
     """Drop parameters with a known secret anywhere in their value; names don't matter.
 
     Values are compared as canonical JSON text, at any depth, with secrets escaped in the same way and as they are.
     A text that isn't an object becomes null if it contains a secret.
 
-    Rows are told apart by their parameters alone, so ids may be null or repeat. A secret is looked up by the hash of
-    its beginning, at most ``ANCHOR`` characters and a power of two of them; every piece of a value of such a length is
-    looked up among these, and what is found is compared in full. Neither side has to fit in a task.
+    Rows are told apart by their parameters alone, so ids may be null or repeat. Each secret has an anchor, a rare piece
+    of it, and all anchors are in a bit map of fixed size. The places of a value are tested against the map where the
+    value is read; only those that pass are looked up among the anchors, and what is found is compared in full. Neither
+    side has to fit in a task.
     """
     named = secrets.where(S.length(secret) > 0).select(S.col(secret).alias("__secret"))
     escaped = S.to_json(S.col("__secret").cast("variant"))
     known = named.union(named.select(S.substr(escaped, S.lit(2), S.length(escaped) - 2))).distinct()
-    size = S.least(S.pow(S.lit(2), S.floor(S.log2(S.length("__secret")))), S.lit(ANCHOR)).cast("int")
-    starts = known.select("__secret", S.xxhash64(S.substr("__secret", S.lit(1), size)).alias("__start"))
-    sizes = known.agg(S.collect_set(size)).scalar()  # one number per power of two up to the longest
     rows = df.withColumns({"__k1": S.xxhash64(column), "__k2": S.xxhash64(S.lit(1), column)})
     texts = rows.select("__k1", "__k2", S.col(column).alias("__params")).where(S.col("__params").isNotNull()).distinct()
     found = computed_once(texts, __values=_values(S.col("__params")))
@@ -91,11 +135,13 @@ def exclude_masked(df: DataFrame, secrets: DataFrame, *, secret: str = "secret",
         S.transform(S.map_entries("__values"), lambda e: S.struct(e["key"].alias("name"), S.coalesce(S.to_json(e["value"]), S.lit("null")).alias("text")))
     )
     values = found.select("__k1", "__k2", S.explode(entries).alias("__entry")).select("__k1", "__k2", "__entry.name", "__entry.text")
-    pieces = values.withColumn("__size", S.explode(sizes)).where(S.length("text") >= S.col("__size"))
-    places = S.sequence(S.lit(1), S.length("text") - S.col("__size") + 1)
-    hashed = S.array_distinct(S.transform(places, lambda at: S.xxhash64(S.substr("text", at, S.col("__size")))))
-    pieces = pieces.select("__k1", "__k2", "name", S.explode(hashed).alias("__start"))
-    suspects = pieces.join(starts, "__start").select(
+    anchors = _anchors(known, rows.select(S.col(column).alias("text")))
+    sizes = anchors.agg(S.collect_set("size")).scalar()
+    places = _places(values.select("__k1", "__k2", "name", S.explode(_chunks(S.col("text"))).alias("chunk")), sizes)
+    bit = S.pmod("hash", S.lit(BITS))
+    marked = S.get(_bit_map(anchors), S.shiftright(bit, 6).cast("int")).bitwiseAND(S.expr(f"shiftleft(1L, cast(pmod(hash, {BITS}) & 63 AS INT))"))
+    pieces = places.where(marked != 0).distinct()
+    suspects = pieces.join(anchors, S.col("hash") == S.col("anchor")).select(
         S.col("__k1").alias("__m1"), S.col("__k2").alias("__m2"), S.col("name").alias("__name"), "__secret"
     ).distinct()
     same = (S.col("__m1") == S.col("__k1")) & (S.col("__m2") == S.col("__k2")) & S.col("__name").eqNullSafe(S.col("name"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,3 +16,8 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     what the JVM compiles. Columns of a generator stay where they are; this one makes one row from one row.
     """
     return df.select("*", F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, for use inside an expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

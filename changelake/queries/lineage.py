@@ -307,6 +307,38 @@ def l19(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("id", S.array_join(object_keys(S.col("params")), ",").alias("names"))
 
 
+@named(
+    "l18_template_syntax", ("template_run",),
+    """SELECT id, CASE WHEN id % 16 < 6 THEN 'n' ELSE 'a,n' END AS without_secrets, CASE WHEN id % 16 < 10 THEN 'n' ELSE 'a,n' END AS without_any
+       FROM template_run""",
+)
+def l18_syntax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = view(spark, sf_dir, "template_run").select("id", "params", S.col("params").alias("again"))
+    kept = P.exclude_templated(P.exclude_templated(runs, "secrets"), "all", "again")
+    return kept.select(
+        "id",
+        S.array_join(object_keys(S.col("params")), ",").alias("without_secrets"),
+        S.array_join(object_keys(S.col("again")), ",").alias("without_any"),
+    )
+
+
+_NESTED_SECRETS = """SELECT DISTINCT CASE s_suppkey % 4 WHEN 0 THEN concat('tok-', CAST(s_suppkey % 500 AS STRING), '-z')
+  WHEN 1 THEN concat('"', CAST(s_suppkey % 40 AS STRING), '"') WHEN 2 THEN '1-URGENT' ELSE CAST(s_suppkey % 90 + 100 AS STRING) END AS secret FROM {supplier}"""
+
+
+@named(
+    "l19_nested_secrets", ("secret_run",),
+    f"""WITH secrets AS ({_NESTED_SECRETS.format(supplier='supplier')}), texts AS (SELECT id, CAST(json_extract(params, '$.a') AS VARCHAR) AS a FROM secret_run),
+       hit AS (SELECT DISTINCT id FROM texts t WHERE EXISTS (SELECT 1 FROM secrets s
+         WHERE contains(t.a, s.secret) OR contains(t.a, replace(s.secret, '"', '\\"'))))
+       SELECT t.id, CASE WHEN h.id IS NULL THEN 'a,b' ELSE 'b' END AS names FROM texts t LEFT JOIN hit h ON h.id = t.id""",
+)
+def l19_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    secrets = spark.sql(_NESTED_SECRETS, supplier=table(spark, sf_dir, "supplier"))
+    kept = P.exclude_masked(view(spark, sf_dir, "secret_run"), secrets)
+    return kept.select("id", S.array_join(object_keys(S.col("params")), ",").alias("names"))
+
+
 _L20 = {
     "dag_id": "concat('dag', CAST(transform_id AS STRING))",
     "run_id": "uid",

@@ -81,13 +81,27 @@ SELECT CAST(p_partkey AS BIGINT) AS sub_id, CASE p_partkey%3 WHEN 0 THEN 'reg_ar
   CASE p_partkey%5 WHEN 0 THEN NULL WHEN 1 THEN CAST(42 AS BIGINT) WHEN 2 THEN CAST(-1 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS branch_id,
   CASE p_partkey%7 WHEN 0 THEN array('key','size') WHEN 1 THEN array('_aux','key') WHEN 2 THEN array('branch_id') ELSE NULL END AS changed_fields,
   CASE WHEN p_partkey%2=0 THEN CAST(p_partkey%11*83 AS BIGINT) ELSE NULL END AS start_id FROM part""",
+    "template_run": r"""
+SELECT o_orderkey AS id, concat('{"a": ', CASE o_orderkey%16
+  WHEN 0 THEN '"{{ {''a'': {''b'': 1}} and var.value.t }}"' WHEN 1 THEN '"{{ ''}}'' ~ var.value.t }}"' WHEN 2 THEN '"{% if ''%}'' and conn.x %}y{% endif %}"'
+  WHEN 3 THEN '"{{ \\"a}}\\" ~ conn.y }}"' WHEN 4 THEN '{"deep": ["x", {"k": "{{ f(1, var) }}"}]}' WHEN 5 THEN '["{# note #}{{ conn }}"]'
+  WHEN 6 THEN '"{{ ''var'' }}"' WHEN 7 THEN '"{{ x.var ~ y|conn }}"' WHEN 8 THEN '"{{ f(var=1) }}"' WHEN 9 THEN '["{{ ds }} var", "conn"]'
+  WHEN 10 THEN '"{# {{ var }} #}"' WHEN 11 THEN '"{% raw %}{{ var }}{% endraw %}"' WHEN 12 THEN '"{{ var"' WHEN 13 THEN '"{{ {''k'': var }}"'
+  WHEN 14 THEN '{"{{ var }}": "key"}' ELSE concat('"', o_orderpriority, '"') END, ', "n": ', CAST(o_orderkey AS STRING), '}') AS params
+FROM orders""",
+    "secret_run": r"""
+SELECT o_orderkey AS id, concat('{"a": ', CASE o_orderkey%6 WHEN 0 THEN concat('{"k": ["x", "<tok-', CAST(o_orderkey%500 AS STRING), '-z>"]}')
+  WHEN 1 THEN concat('"q\\"', CAST(o_orderkey%40 AS STRING), '\\"q"') WHEN 2 THEN concat('[[["', o_orderpriority, '"]], {"tok-', CAST(o_orderkey%500 AS STRING), '-z": 1}]')
+  WHEN 3 THEN CAST(o_custkey AS STRING) WHEN 4 THEN 'null' ELSE concat('"', repeat('padding ', 200), 'tok-', CAST(o_orderkey%50 AS STRING), '-z"') END,
+  ', "b": "', o_orderstatus, '"}') AS params, o_custkey
+FROM orders""",
 }
 
 _SOURCE = {
     "write_log": ["events"], "artifact": ["documents"], "branch": ["supplier"], "branchblock": ["conversations"],
     "app_user": ["customer"], "run": ["orders"], "run_input": ["lineitem"], "task_state": ["lineitem"],
     "scope_member": ["lineitem"], "task_edge": ["lineitem"], "source_obs": ["conversations"], "gate": ["part"],
-    "subscription": ["part"], "watcher": ["part"],
+    "subscription": ["part"], "watcher": ["part"], "template_run": ["orders"], "secret_run": ["orders"],
 }
 
 _RELATIONS = {
