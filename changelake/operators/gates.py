@@ -26,6 +26,8 @@ from changelake.plans.matching import apply_filter
 from changelake.sources.catalog import Catalog
 
 OPEN, PENDING, FAILED = "success", "pending", "failure"
+#: A gate that can never open: it asks for less than one record, or for more than are looked at.
+INVALID = "invalid"
 
 
 def _check(min_count: int, limit: int | None) -> None:
@@ -148,7 +150,8 @@ def evaluate_gates(
 
     A gate's criteria are its non-null columns among ``key``, ``key_prefix``, ``suffix`` and ``kind`` (each of the last
     two a value or an array of them) and ``branch_id``, without which ``branch`` holds. Matches still uploading don't
-    count; with ``limit``, only the newest so many are looked at, and a gate that wants more can't open.
+    count; with ``limit``, only the newest so many are looked at. A gate that asks for more than these, for less than one
+    or for no number is ``invalid`` whatever there is.
 
     Gates with equal criteria are one *criterion*. A criterion is matched by equality on everything it fixes: the whole
     key, or the key cut to the prefix's length, and each of its suffixes and kinds. An artifact offers one combination
@@ -213,11 +216,12 @@ def evaluate_gates(
         matches = matches.withColumn("__rank", S.row_number().over(latest)).where(S.col("__rank") <= limit)
     found = matches.groupBy(S.col("__criterion").alias("__found")).agg(S.count_if(~S.col("uploading")).alias("__n"))
     n_ready = S.coalesce(S.col("__n"), S.lit(0))
+    possible = (S.col("min_count") >= 1) & (S.lit(True) if limit is None else S.col("min_count") <= limit)
     return lookup(keyed, found, {"__criterion": "__found"}).select(
         "gate_id",
         n_ready.alias("n_ready"),
         "min_count",
-        S.when(n_ready >= S.col("min_count"), OPEN).otherwise(PENDING).alias("verdict"),
+        S.when(~S.coalesce(possible, S.lit(False)), INVALID).when(n_ready >= S.col("min_count"), OPEN).otherwise(PENDING).alias("verdict"),
     )
 
 

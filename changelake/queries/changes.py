@@ -536,7 +536,7 @@ def _to_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 @named("s02_log_stream", ("write_log",), "SELECT id, event_type, sqlrecord_id FROM write_log")
 def s02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _to_table(spark, _stream(spark, sf_dir).select("id", "event_type", "sqlrecord_id"))
+    return _to_table(spark, _in_files(spark, sf_dir).select("id", "event_type", "sqlrecord_id"))
 
 
 @named("s11_stream_record_events", ("write_log", "artifact", "app_user"), _RECORD_SQL)
@@ -597,7 +597,7 @@ def s14(spark: SparkSession, sf_dir: str) -> DataFrame:
          row_number() OVER (PARTITION BY sqlrecord_id ORDER BY id) AS n FROM write_log WHERE event_type = 'INSERT') WHERE n = 4""",
 )
 def s15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inserts = _stream(spark, sf_dir).where(S.col("event_type") == "INSERT")
+    inserts = _in_files(spark, sf_dir).where(S.col("event_type") == "INSERT")
     return _to_table(spark, streams.stream_gate(inserts, ["sqlrecord_id"], 4))
 
 

@@ -70,6 +70,23 @@ def g06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.evaluate_gates(view(spark, sf_dir, "artifact"), view(spark, sf_dir, "gate"), limit=20)
 
 
+@named(
+    "g06_gate_criteria", ("artifact", "gate_criteria"),
+    f"""WITH matches AS (SELECT g.gate_id, a.id, {_UPLOADING} AS uploading,
+         row_number() OVER (PARTITION BY g.gate_id ORDER BY a.id DESC) AS n
+         FROM gate_criteria g JOIN artifact a ON a.branch_id = coalesce(g.branch_id, 1) AND (g.key IS NULL OR a.key = g.key)
+           AND (g.key_prefix IS NULL OR starts_with(a.key, g.key_prefix)) AND (g.suffix IS NULL OR list_contains(g.suffix, a.suffix))
+           AND CASE WHEN g.kind IS NULL THEN (a.kind IS NULL OR a.kind NOT IN ('__internal_run__', '__internal_config__'))
+             ELSE coalesce(list_contains(g.kind, a.kind), false) END),
+       counts AS (SELECT gate_id, count(*) FILTER (WHERE NOT uploading) AS n FROM matches WHERE n <= 20 GROUP BY gate_id)
+       SELECT g.gate_id, coalesce(c.n, 0) AS n_ready, g.min_count, CASE WHEN g.min_count NOT BETWEEN 1 AND 20 THEN 'invalid'
+         WHEN coalesce(c.n, 0) >= g.min_count THEN 'success' ELSE 'pending' END AS verdict
+       FROM gate_criteria g LEFT JOIN counts c ON c.gate_id = g.gate_id""",
+)
+def g06_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.evaluate_gates(view(spark, sf_dir, "artifact"), view(spark, sf_dir, "gate_criteria"), limit=20)
+
+
 @named(
     "g07_gate_opened_at", ("write_log",),
     """SELECT sqlrecord_id, table_name, id AS opened_at FROM (SELECT *, row_number() OVER

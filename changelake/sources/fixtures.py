@@ -73,6 +73,13 @@ SELECT DISTINCT a.l_orderkey AS run_id, concat('t',CAST(a.l_linenumber AS STRING
 SELECT conv_id*1000+turn AS obs, concat('dags/',CAST(conv_id%40 AS STRING),'.py') AS key, concat('# v',CAST((conv_id*turn)%150 AS STRING)) AS source FROM conversations""",
     "gate": """
 SELECT CAST(p_partkey AS BIGINT) AS gate_id, CAST(p_partkey%100 AS BIGINT) AS branch_id_ref, concat('src',CAST(p_partkey%25 AS STRING),'/') AS key_prefix, CASE p_partkey%3 WHEN 0 THEN '.csv' WHEN 1 THEN '.parquet' ELSE '.txt' END AS suffix, CAST(p_size%5+1 AS INT) AS min_count FROM part""",
+    "gate_criteria": """
+SELECT CAST(p_partkey AS BIGINT) AS gate_id, CASE WHEN p_partkey%4=0 THEN concat(source,'/',CAST(doc_id AS STRING),CASE doc_id%3 WHEN 0 THEN '.csv' WHEN 1 THEN '.parquet' ELSE '.txt' END) END AS key,
+  CASE WHEN p_partkey%3<>0 THEN concat('src',CAST(p_partkey%20 AS STRING)) END AS key_prefix,
+  CASE p_partkey%3 WHEN 0 THEN array('.txt','.csv') WHEN 1 THEN array('.parquet') END AS suffix,
+  CASE p_partkey%5 WHEN 0 THEN array('model','dataset','model') WHEN 1 THEN array('__internal_run__') END AS kind,
+  CASE p_partkey%6 WHEN 0 THEN CAST(42 AS BIGINT) WHEN 1 THEN CAST(-1 AS BIGINT) END AS branch_id, CAST(p_partkey%30 AS INT) AS min_count
+FROM part LEFT JOIN documents ON doc_id=p_partkey%200""",
     "subscription": """
 SELECT CAST(p_partkey AS BIGINT) AS sub_id, CASE p_partkey%3 WHEN 0 THEN 'reg_artifact' WHEN 1 THEN 'reg_branch' ELSE 'reg_branchblock' END AS table_name, CASE WHEN p_partkey%4=0 THEN 'created' WHEN p_partkey%4=1 THEN 'updated' ELSE 'deleted' END AS event, CASE WHEN p_partkey%5=0 THEN NULL WHEN p_partkey%5=1 THEN CAST(42 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS branch_id FROM part""",
     "watcher": """
@@ -101,7 +108,7 @@ _SOURCE = {
     "write_log": ["events"], "artifact": ["documents"], "branch": ["supplier"], "branchblock": ["conversations"],
     "app_user": ["customer"], "run": ["orders"], "run_input": ["lineitem"], "task_state": ["lineitem"],
     "scope_member": ["lineitem"], "task_edge": ["lineitem"], "source_obs": ["conversations"], "gate": ["part"],
-    "subscription": ["part"], "watcher": ["part"], "template_run": ["orders"], "secret_run": ["orders"],
+    "subscription": ["part"], "watcher": ["part"], "template_run": ["orders"], "gate_criteria": ["part", "documents"], "secret_run": ["orders"],
 }
 
 _RELATIONS = {

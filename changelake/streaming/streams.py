@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as S
 from pyspark.sql import types as T
@@ -149,6 +150,27 @@ def dedupe_stream(
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def _least_ids(n: int, keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row for each gate in a batch of rows: how many it has, and its ``n`` least ids.
+
+    Runs where the rows are read, so a hot gate is cut down in every task before its rows meet.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import Table
+        from pyarrow.compute import list_slice
+
+        for batch in batches:
+            rows = Table.from_batches([batch]).sort_by("id").group_by(keys, use_threads=False)
+            found = rows.aggregate([("id", "count"), ("id", "list")])
+            ids = list_slice(found.column("id_list"), 0, n)
+            yield from Table.from_arrays(
+                [*[found.column(key) for key in keys], found.column("id_count"), ids], names=[*keys, "total", "ids"]
+            ).to_batches()
+
+    return run
+
+
 def _fire_once(n: int, keys: list[str]) -> StatefulProcessor:
     """Counts a gate's events and reports the id of the ``n``-th, once.
 
@@ -165,11 +187,12 @@ def _fire_once(n: int, keys: list[str]) -> StatefulProcessor:
                 return
             missing, total, lowest = n - before, 0, []
             for frame in rows:  # never more than the missing ids are kept
-                total += len(frame)
-                lowest = heapq.nsmallest(missing, [*lowest, *frame["id"].tolist()])
+                total += int(frame["total"].sum())
+                for ids in frame["ids"]:
+                    lowest = heapq.nsmallest(missing, [*lowest, *ids])
             self.seen.update((min(before + total, n),))
             if before + total >= n:
-                yield pd.DataFrame({**dict(zip(keys, [[k] for k in key], strict=True)), "opened_at": [lowest[-1]]})
+                yield pd.DataFrame({**dict(zip(keys, [[k] for k in key], strict=True)), "opened_at": [int(lowest[-1])]})
 
         def close(self) -> None:
             pass
@@ -179,12 +202,19 @@ def _fire_once(n: int, keys: list[str]) -> StatefulProcessor:
 
 def stream_gate(events: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """One row per gate, when its running count of events reaches ``n``: the keys and ``opened_at``, the log id
-    of the ``n``-th event. Micro-batches must follow the log's order."""
+    of the ``n``-th event. Micro-batches must follow the log's order.
+
+    A gate's rows are added up in two levels: in every task that reads some, to a count and the ``n`` least ids, and then
+    in the gate's state.
+    """
     if n < 1:
         raise ValueError("n must be at least 1")
-    schema = T.StructType([*[events.schema[key] for key in keys], T.StructField("opened_at", T.LongType())])
+    own = [events.schema[key] for key in keys]
+    schema = T.StructType([*own, T.StructField("opened_at", T.LongType())])
+    partial = T.StructType([*own, T.StructField("total", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType()))])
     return (
-        events.select(*keys, "id")
+        events.select(*keys, S.col("id").cast("bigint").alias("id"))
+        .mapInArrow(_least_ids(n, list(keys)), partial)
         .groupBy(*keys)
         .transformWithStateInPandas(_fire_once(n, list(keys)), schema, outputMode="Append", timeMode="None")
     )

@@ -103,7 +103,16 @@ def test_gate_table_agrees_with_single_gates(spark, limit):
     for gate_id, key, prefix, suffix, kind, count in GATES:
         ready = G.matching_records(cat, "artifact", G.artifact_filter(key=key, key_prefix=prefix, suffix=suffix, kind=kind), limit=limit)
         n = ready.count()
-        assert got[gate_id] == (n, "success" if n >= count else "pending"), gate_id
+        want = "invalid" if count > limit else "success" if n >= count else "pending"
+        assert got[gate_id] == (n, want), gate_id
+
+
+def test_impossible_gates_are_reported(spark):
+    records = table(spark, [artifact(i, f"raw/{i}.csv") for i in range(30)], ARTIFACT)
+    gates = spark.createDataFrame([(1, "raw/", 25), (2, "raw/", 20), (3, "raw/", 0), (4, "raw/", None), (5, "raw/", -1)], "gate_id int, key_prefix string, min_count int")
+    verdicts = {r["gate_id"]: r["verdict"] for r in G.evaluate_gates(records, gates, limit=20).collect()}
+    assert verdicts == {1: "invalid", 2: "success", 3: "invalid", 4: "invalid", 5: "invalid"}
+    assert {r["gate_id"]: r["verdict"] for r in G.evaluate_gates(records, gates).collect()}[1] == "success"
 
 
 def test_gate_table_options(spark):

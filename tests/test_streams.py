@@ -121,6 +121,28 @@ def test_stream_gate_fires_once(spark, log_files, cat, tmp_path, n):
         streams.stream_gate(cat.log(), keys, 0)
 
 
+@pytest.mark.parametrize("n", [1, 40, 900])
+def test_a_hot_gate_is_cut_down_where_it_is_read(spark, tmp_path, n):
+    rows = [(i, "hot" if i % 10 else None if i % 30 else f"g{i % 7}", 1) for i in range(3000)]
+    log = spark.createDataFrame(rows, "id long, gate string, part int")
+    for low in (0, 700, 710, 2000):  # four micro-batches
+        high = {0: 700, 700: 710, 710: 2000, 2000: 3000}[low]
+        log.where(f"id >= {low} AND id < {high}").repartition(3).write.mode("append").parquet(str(tmp_path / f"log/{low}"))
+    folders = sorted((tmp_path / "log").iterdir(), key=lambda f: int(f.name))
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 3).parquet(str(tmp_path / "log/*"))
+    keys = ["gate", "part"]
+    opened = _collect(spark, streams.stream_gate(stream, keys, n), tmp_path)
+    key = lambda r: (r[0] is None, *map(str, r))
+    assert sorted(map(tuple, opened.collect()), key=key) == sorted(map(tuple, gate_opened_at(log, keys, n).collect()), key=key)
+    batches = log.select("gate", "part", "id").toArrow().to_batches(max_chunksize=1000)
+    partial = [list(streams._least_ids(n, keys)(iter([b]))) for b in batches]
+    assert len(folders) == 4 and len(batches) >= 3
+    for batch, found in zip(batches, partial, strict=True):
+        out = [r for part in found for r in part.to_pylist()]
+        assert len(out) == len({r["gate"] for r in batch.to_pylist()}) and sum(r["total"] for r in out) == len(batch)
+        assert all(r["ids"] == sorted(r["ids"])[:n] and len(r["ids"]) == min(n, r["total"]) for r in out)
+
+
 def test_stream_dedupe(spark, log_files, cat, tmp_path):
     log = read_log_stream(spark, log_files, max_files=2)
     once = streams.dedupe_stream(log.unionByName(read_log_stream(spark, log_files, max_files=2)), "30 days")
