@@ -121,33 +121,32 @@ def _checked_patches(df: DataFrame, patches: DataFrame, patch: str) -> DataFrame
 
 
 def _judged(before: DataFrame, changes: DataFrame, patch: str) -> DataFrame:
-    """Changes with a ``reason`` where the table would refuse them."""
+    """Changes with the record's old values, ``__patch`` parsed, ``__keys``, and a ``reason`` where the table refuses them.
+
+    The one join to the table serves both what is refused and what is logged.
+    """
     fields = [f for f in before.schema if f.name not in ("id", "uid")]
-    known = touched(before, "uid", changes, "uid").select(S.col("uid").alias("__known")).distinct()
+    old = touched(before, "uid", changes, "uid").withColumnsRenamed({c: f"__old_{c}" for c in before.columns})
     times = changes.where(S.col("op") == "UPDATE").groupBy(S.col("uid").alias("__uid")).agg(S.count(S.lit(1)).alias("__times"))
-    rows = changes.join(known, S.col("uid") == S.col("__known"), "left")
-    rows = computed_once(lookup(rows, times, {"uid": "__uid"}), __patch=J.parsed(S.col(patch)))
+    rows = lookup(changes.join(old, S.col("uid") == S.col("__old_uid"), "left"), times.where("__times > 1"), {"uid": "__uid"})
+    rows = computed_once(rows, __patch=J.parsed(S.col(patch)), __keys=J.object_keys(S.col(patch)))
     is_update = S.col("op") == "UPDATE"
     has_patch = is_update | ((S.col("op") == "INSERT") & S.col(patch).isNotNull())
-    extra = S.size(S.array_except(J.object_keys(S.col(patch)), S.array(*[S.lit(f.name) for f in before.schema]))) > 0
+    extra = S.size(S.array_except("__keys", S.array(*[S.lit(f.name) for f in before.schema]))) > 0
     wrong = S.size(_wrong_types(S.col("__patch"), fields)) > 0
-    fixed = S.arrays_overlap(J.object_keys(S.col(patch)), S.array(S.lit("id"), S.lit("uid")))
-    return rows.withColumn(
-        "reason",
-        S.when((S.col("op") != "INSERT") & S.col("__known").isNull(), "unknown uid")
-        .when(is_update & (S.col("__times") > 1), "repeated uid")
+    fixed = S.arrays_overlap("__keys", S.array(S.lit("id"), S.lit("uid")))
+    reason = (
+        S.when((S.col("op") != "INSERT") & S.col("__old_uid").isNull(), "unknown uid")
+        .when(is_update & S.col("__times").isNotNull(), "repeated uid")
         .when(has_patch & ~S.coalesce(J.type_name(S.col("__patch")).startswith("OBJECT"), S.lit(False)), "malformed")
-        .when(has_patch & (extra | wrong | (is_update & fixed)), "field"),
-    ).drop("__known", "__times", "__patch")
-
-
-def _accepted(before: DataFrame, changes: DataFrame, patch: str) -> DataFrame:
-    return _judged(before, changes, patch).where(S.col("reason").isNull()).drop("reason")
+        .when(has_patch & (extra | wrong | (is_update & fixed)), "field")
+    )
+    return computed_once(rows, reason=reason).drop("__times")
 
 
 def rejected_changes(before: DataFrame, changes: DataFrame, patch: str = "patch") -> DataFrame:
     """Changes that ``emit_log`` leaves out, with a ``reason``: what ``update_records`` refuses, and unknown records."""
-    return _judged(before, changes, patch).where(S.col("reason").isNotNull())
+    return _judged(before, changes, patch).where(S.col("reason").isNotNull()).select(*changes.columns, "reason")
 
 
 def emit_log(
@@ -169,11 +168,8 @@ def emit_log(
     ``run_id`` are those of the changes, else the record's. Ids
     follow ``start_id`` in the order of ``hashed_segment(uid)``, then ``uid``.
     """
-    changes = _accepted(before, changes, patch)
     columns = before.columns
-    old = touched(before, "uid", changes, "uid").withColumnsRenamed({c: f"__old_{c}" for c in columns})
-    rows = changes.join(old, S.col("uid") == S.col("__old_uid"), "left")
-    rows = computed_once(rows, __patch=J.parsed(S.col(patch)), __keys=J.object_keys(S.col(patch)))
+    rows = _judged(before, changes, patch).where(S.col("reason").isNull())
     pieces = []
     for name in columns:
         whole = S.to_json(S.struct(S.col(f"__old_{name}").alias(name)), {"ignoreNullFields": "false"})

@@ -134,6 +134,21 @@ def l07_others(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.flow_outcome(view(spark, sf_dir, "task_state"), own_task="t1")
 
 
+@named(
+    "l07_reported_scopes", ("task_state", "scope_member", "run"),
+    """WITH asked AS (SELECT DISTINCT run_id, scope FROM scope_member UNION SELECT id, 'report' FROM run WHERE id % 3 = 0 UNION SELECT id, '' FROM run),
+       failed AS (SELECT DISTINCT m.run_id, m.scope FROM scope_member m JOIN task_state t ON t.run_id = m.run_id AND t.task_id = m.task_id
+         WHERE t.state IN ('failed', 'upstream_failed'))
+       SELECT a.run_id, a.scope, CASE WHEN f.run_id IS NULL THEN 'completed' ELSE 'errored' END AS outcome
+       FROM asked a LEFT JOIN failed f ON f.run_id = a.run_id AND f.scope = a.scope""",
+)
+def l07_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = view(spark, sf_dir, "run")
+    scopes = runs.where("id % 3 = 0").select(S.col("id").alias("run_id"), S.lit("report").alias("scope"))
+    scopes = scopes.unionByName(runs.select(S.col("id").alias("run_id"), S.lit("").alias("scope")))
+    return L.flow_outcome(view(spark, sf_dir, "task_state"), view(spark, sf_dir, "scope_member"), scopes=scopes)
+
+
 @named(
     "l08_close_runs", ("run", "task_state"),
     """WITH ends AS (SELECT run_id, CASE WHEN bool_or(state IN ('failed', 'upstream_failed')) THEN 1 ELSE 0 END AS code

@@ -126,6 +126,42 @@ def s06(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# of every forty documents: good updates, inserts with and without a branch, deletes, and one change for each reason to refuse
+_MIXED_CHANGES = """SELECT CASE doc_id % 10 WHEN 1 THEN 'INSERT' WHEN 2 THEN 'INSERT' WHEN 3 THEN 'DELETE' ELSE 'UPDATE' END AS op,
+  CASE WHEN doc_id % 10 IN (1, 2) THEN concat('new', CAST(doc_id AS STRING)) WHEN doc_id % 10 = 4 THEN concat('lost', CAST(doc_id AS STRING))
+    WHEN doc_id % 40 IN (5, 15) THEN concat('a', CAST(doc_id - doc_id % 40 AS STRING)) ELSE concat('a', CAST(doc_id AS STRING)) END AS uid,
+  doc_id + 1000000 AS sqlrecord_id, doc_id % 40 AS n,
+  CASE doc_id % 10 WHEN 1 THEN '{{"kind": "model", "branch_id": 7}}' WHEN 2 THEN '{{"kind": "model"}}' WHEN 3 THEN NULL WHEN 6 THEN '[1]'
+    WHEN 7 THEN '{{"size": "large"}}' WHEN 8 THEN '{{"nothing": 1}}' WHEN 9 THEN '{{"id": 5}}' ELSE '{{"kind": null, "size": 3}}' END AS patch FROM {documents}"""
+# a change is refused for the first of these
+_REFUSED = """CASE WHEN op <> 'INSERT' AND n % 10 = 4 THEN 'unknown uid' WHEN op = 'UPDATE' AND n IN (0, 5, 15) THEN 'repeated uid'
+  WHEN n % 10 = 6 THEN 'malformed' WHEN n % 10 IN (7, 8, 9) THEN 'field' END"""
+
+
+@named("s06_rejected_changes", (), f"SELECT uid, op, reason FROM (SELECT *, {_REFUSED} AS reason FROM ({_duck(_MIXED_CHANGES, 'documents')})) WHERE reason IS NOT NULL")
+def s06_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = _sql(spark, sf_dir, _MIXED_CHANGES, "documents")
+    return A.rejected_changes(view(spark, sf_dir, "artifact"), changes).select("uid", "op", "reason")
+
+
+@named(
+    "s06_emit_accepted", ("artifact",),
+    f"""WITH accepted AS (SELECT * FROM ({_duck(_MIXED_CHANGES, 'documents')}) WHERE {_REFUSED} IS NULL),
+       numbered AS (SELECT *, 500 + row_number() OVER (ORDER BY substr(md5(uid), 1, 4), uid) AS log_id FROM accepted)
+       SELECT n.log_id AS id, n.op AS event_type, coalesce(a.id, n.sqlrecord_id) AS sqlrecord_id,
+         CASE WHEN n.op <> 'INSERT' THEN a.branch_id WHEN n.n % 10 = 1 THEN 7 ELSE 1 END AS branch_id,
+         CASE WHEN n.op <> 'INSERT' THEN a.kind END AS previous_kind, CASE WHEN n.op <> 'INSERT' THEN CAST(a.size AS VARCHAR) END AS previous_size
+       FROM numbered n LEFT JOIN artifact a ON a.uid = n.uid""",
+)
+def s06_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = _sql(spark, sf_dir, _MIXED_CHANGES, "documents")
+    log = A.emit_log(view(spark, sf_dir, "artifact"), changes, table_name="reg_artifact", start_id=500)
+    return log.select(
+        "id", "event_type", "sqlrecord_id", "branch_id",
+        S.get_json_object("data", "$.kind").alias("previous_kind"), S.get_json_object("data", "$.size").alias("previous_size"),
+    )
+
+
 _CURSORS = """SELECT concat('job', CAST(c_custkey % 400 AS STRING)) AS key,
   CASE c_custkey % 7 WHEN 0 THEN 'broken' WHEN 1 THEN concat('{{"dbwrite_id": "', CAST(c_custkey AS STRING), '", "instance_id": "one"}}')
     WHEN 2 THEN concat('{{"dbwrite_id": ', CAST(c_custkey AS STRING), ', "instance_id": "two"}}')
