@@ -11,10 +11,11 @@ from changelake.functions.patterns import glob_any
 from changelake.operators import changes as C
 from changelake.operators import events as E
 from changelake.operators import subscriptions as U
+from changelake.operators.indexes import match_patterns
 from changelake.plans.filters import F
 from changelake.queries import named
 from changelake.sources.catalog import Catalog, Registry
-from changelake.sources.fixtures import catalog, view, view_over
+from changelake.sources.fixtures import catalog, table, view, view_over
 from changelake.sources.readers import read_log_stream, scratch_dir
 from changelake.streaming import streams
 
@@ -348,6 +349,20 @@ def c25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(glob_any(S.col("key"), ["src1*/*[135].csv", "src?/*.parquet"])).select("id", "key")
 
 
+_GLOBS = """SELECT CAST(p_partkey AS BIGINT) AS pattern_id, CASE p_partkey % 6 WHEN 0 THEN concat('src', CAST(p_partkey % 20 AS STRING), '/*.csv')
+  WHEN 1 THEN concat('*/', CAST(p_partkey % 1000 AS STRING), '.*') WHEN 2 THEN concat('src?/*[', CAST(p_partkey % 10 AS STRING), '-9].parquet')
+  WHEN 3 THEN repeat('?', CAST(p_partkey % 16 AS INT)) WHEN 4 THEN concat('*', CAST(p_partkey % 100 AS STRING), '*t') ELSE concat('[s-z]*[!c]', CAST(p_partkey AS STRING)) END AS pattern FROM {part}"""
+
+
+@named(
+    "c25_pattern_table", ("artifact",),
+    f"SELECT p.pattern_id, a.id FROM artifact a JOIN ({_GLOBS.format(part='part')}) p ON a.key GLOB p.pattern",
+)
+def c25_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    globs = spark.sql(_GLOBS, part=table(spark, sf_dir, "part"))
+    return match_patterns(view(spark, sf_dir, "artifact").select("id", "key"), globs, name="key").select("pattern_id", "id")
+
+
 @named("c26_branch_status", ("branch",), f"SELECT id, {_STATUS.format('_status_code')} AS status FROM branch")
 def c26(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "branch").select("id", branch_status(S.col("_status_code")).alias("status"))

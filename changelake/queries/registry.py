@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as S
@@ -11,10 +12,12 @@ from changelake.functions.codes import is_internal
 from changelake.functions.jsoncols import upload_ongoing
 from changelake.operators import query as Q
 from changelake.operators.changes import filter_deleted
+from changelake.operators.indexes import search_postings, text_postings, write_postings
 from changelake.plans.filters import F, FilterExpression
 from changelake.queries import named
 from changelake.sources.catalog import Catalog, Registry
 from changelake.sources.fixtures import catalog, table, view
+from changelake.sources.readers import scratch_dir
 
 
 def _ids(spark: SparkSession, sf_dir: str, registry: str, filter: FilterExpression, *columns: str) -> DataFrame:
@@ -250,6 +253,19 @@ def q47(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).select("id", "handle").distinct()
 
 
+@named(
+    "q47_search_postings", ("app_user",),
+    """SELECT id, handle, needle FROM app_user, (VALUES ('mer#000000012'), ('build'), ('9'), ('0#'), ('nowhere')) n(needle)
+       WHERE contains(lower(handle), needle) OR contains(lower(name), needle)""",
+)
+def q47_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people, folder = view(spark, sf_dir, "app_user"), scratch_dir(spark, "postings")
+    write_postings(text_postings(people), folder)
+    postings = spark.read.parquet(folder)
+    found = [search_postings(people, postings, text).withColumn("needle", S.lit(text.lower())) for text in ("MER#000000012", "Build", "9", "0#", "nowhere")]
+    return reduce(DataFrame.unionByName, found).select("id", "handle", "needle")
+
+
 @named(
     "q48_by_ids", ("artifact", "run_input"),
     "SELECT id, key FROM artifact WHERE id IN (SELECT artifact_id FROM run_input) AND suffix = '.txt'",
