@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changelake.llm.storage import written
+from changelake.llm.storage import Scratch
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -29,7 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
     written after each. Nulls and loops are ignored.
     """
     edges = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = written(edges, "links")
+    tables, n = Scratch(edges.sparkSession, "links"), 0
+    edges = tables.written(edges, "0")
     before = _state(edges)
     while before[0]:
         # large star: a node's larger neighbours go to its least one
@@ -38,7 +39,8 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: a node and its smaller neighbours go to the least of these
         down = _least(large.select(F.col("a").alias("u"), F.col("b").alias("v")))
         small = down.select(F.explode(F.array("u", "v")).alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b"))
-        edges = written(small.distinct(), "links")
+        edges, n = tables.written(small.distinct(), str(n + 1)), n + 1
+        tables.drop(str(n - 1))
         after = _state(edges)
         if after == before:
             break

@@ -10,8 +10,9 @@ Only components are wanted, so pairs inside one needn't be seen:
 
 1. In each bucket, all nodes are candidates of its least node. Every node's best one is confirmed first, then those that
    would still join two components.
-2. Buckets with nodes of several components are compared in blocks, sketch against sketch, and what passes on full
-   sets at once; as a link makes two components one, a cell gives fewer links than it has rows.
+2. Buckets with nodes of several components are compared in blocks, sketch against sketch. Nodes that have a close one
+   there are compared again with their full sets at hand; as a link makes two components one, a cell gives fewer links
+   than it has rows.
 
 No bucket is cut or skipped: large ones are dealt into blocks that meet in a grid. With 32 bands of 4 samples a pair at
 the threshold of 0.8 is overlooked with a probability of 5e-8.
@@ -34,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changelake.llm.components import components
-from changelake.llm.storage import ship, written
+from changelake.llm.storage import Scratch, ship
 from changelake.plans.joins import lookup
 
 BANDS, ROWS, BITS = 32, 4, 1024
@@ -164,28 +165,54 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+class _Cell:
+    """The rows of a bucket or of two of its blocks, and for each row those it may be linked with in this band."""
+
+    def __init__(self, key: tuple, table: pa.Table, most: int, percent: int) -> None:
+        self.nodes, self.sides = table.column("node").to_pylist(), np.array(table.column("side").to_pylist(), np.int64)
+        self.root = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)[1]
+        self.sizes = np.array(table.column("n_shingles").to_pylist(), np.int64)
+        words, self.bands = (np.stack([x.values.to_numpy() for x in table.column(name)]) for name in ("sketch", "keys"))
+        self.words, self.band, self.most, self.percent = words.view(np.uint64), key[0].as_py(), most, percent
+        self.first, self.second = np.flatnonzero(self.sides != 1), np.flatnonzero(self.sides != 0)
+
+    def close(self, i: int) -> np.ndarray:
+        """Rows of other components whose sketches are close to that of row ``i``, each pair in the first band it shares."""
+        js, sizes, bands = self.second, self.sizes, self.bands
+        js = js[(self.root[js] != self.root[i]) & ((self.sides[js] == 1) | (js > i))]
+        js = js[100 * np.minimum(sizes[js], sizes[i]) >= self.percent * np.maximum(sizes[js], sizes[i])]
+        js = js[np.bitwise_count(self.words[js] ^ self.words[i]).sum(axis=1) < self.most]
+        return js[bands[i][(bands[js] == bands[i]).argmax(axis=1)] == self.band]
+
+
+def _suspects(most: int, percent: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """The rows that have a close one: no more than there are."""
+        cell = _Cell(key, table.combine_chunks(), most, percent)
+        found = np.zeros(len(cell.nodes), bool)
+        for i in cell.first:
+            js = cell.close(i)
+            found[js] = True
+            found[i] |= len(js) > 0
+        at = np.flatnonzero(found)
+        return pa.table({"key": pa.array([cell.band] * len(at), pa.int64()), "node": pa.array([cell.nodes[i] for i in at], pa.binary())})
+
+    return run
+
+
 def _cells(most: int, percent: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        """Links that join components, in one bucket or two of its blocks.
+        """Links that join components: close rows compared on their full sets.
 
-        Pairs of different components whose sketches are close are compared on their full sets, each pair in the first
-        band it shares; a link makes its components one, so there are fewer links than rows.
+        A link makes its components one, so there are fewer links than rows.
         """
         table = table.combine_chunks()
-        nodes, sides = table.column("node").to_pylist(), np.array(table.column("side").to_pylist(), np.int64)
-        root = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)[1]
-        sizes = np.array(table.column("n_shingles").to_pylist(), np.int64)
-        words, bands = (np.stack([x.values.to_numpy() for x in table.column(name)]) for name in ("sketch", "keys"))
-        words, band = words.view(np.uint64), key[0].as_py()
+        cell = _Cell(key, table, most, percent)
+        nodes, root = cell.nodes, cell.root
         sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("items")]
-        first, second = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
         left, right = [], []
-        for i in first:
-            js = second[(root[second] != root[i]) & ((sides[second] == 1) | (second > i))]
-            js = js[100 * np.minimum(sizes[js], sizes[i]) >= percent * np.maximum(sizes[js], sizes[i])]
-            js = js[np.bitwise_count(words[js] ^ words[i]).sum(axis=1) < most]
-            js = js[bands[i][(bands[js] == bands[i]).argmax(axis=1)] == band]
-            for j in js:
+        for i in cell.first:
+            for j in cell.close(i):
                 if root[j] != root[i] and _similar(sets[i], sets[j], percent):
                     root[root == root[j]] = root[i]
                     left.append(nodes[i])
@@ -195,16 +222,16 @@ def _cells(most: int, percent: int):
     return run
 
 
-def _links_in_blocks(members: DataFrame, most: int, percent: int, block: int) -> DataFrame:
-    """Links between components among the rows of each ``key``, in cells of two blocks at most."""
+def _in_blocks(members: DataFrame, block: int, run, schema: str) -> DataFrame:
+    """What ``run`` makes of the rows of each ``key``, in cells of two blocks at most."""
     counts = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     rows = lookup(members, counts, {"key": "key"}, "inner")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # a cell is a pair of blocks; on its diagonal a block meets itself
     side = F.when(F.col("own") < F.col("other"), 0).when(F.col("own") > F.col("other"), 1).otherwise(2)
-    cell = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "node", "root", "n_shingles", "sketch", "keys", "items")
-    return cell.groupBy("key", "i", "j").applyInArrow(_cells(most, percent), "a binary, b binary")
+    cell = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), *[c for c in members.columns if c != "key"])
+    return cell.groupBy("key", "i", "j").applyInArrow(run, schema)
 
 
 def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -225,24 +252,26 @@ def clusters(
     ``percent`` of a hundred. ``first`` marks the rows of the least id and hash in the component.
     """
     ship(docs.sparkSession)
+    tables = Scratch(docs.sparkSession, "near-dup")
     k = bands * rows
     most = most_differing(percent / 100, k)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash bigint, node binary, n_shingles bigint, keys array<bigint>, sketch array<bigint>"
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    features = written(source.mapInArrow(_features(shingle, bands, rows), schema), "near-features")
-    ids = features.select("doc_id", "text_hash", "node", "n_shingles")
+    features = tables.written(source.mapInArrow(_features(shingle, bands, rows), schema), "features")
+    ids = tables.written(features.select("doc_id", "text_hash", "node", "n_shingles"), "ids")
     filled = features.where(F.col("node").isNotNull())
     nodes = filled.groupBy("node").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"),
         F.first("sketch").alias("sketch"),
     )
-    nodes = written(nodes, "near-nodes")
+    nodes = tables.written(nodes, "nodes")
+    tables.drop("features")
 
     # buckets of several nodes
     banded = nodes.select("node", F.explode("keys").alias("key"))
     shared = banded.groupBy(F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__key")
-    members = written(lookup(banded, shared, {"key": "__key"}, "left_semi"), "near-buckets")
+    members = tables.written(lookup(banded, shared, {"key": "__key"}, "left_semi"), "buckets")
     centers = members.groupBy(F.col("key").alias("__key")).agg(F.min("node").alias("center"))
     stars = lookup(members, centers, {"key": "__key"}, "inner").where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     sketches = nodes.select("node", "n_shingles", "sketch")
@@ -254,7 +283,7 @@ def clusters(
     differing = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     stars = stars.where(near).select("a", "b", differing.alias("z")).where(F.col("z") < most)
-    stars = written(stars, "near-stars")
+    stars = tables.written(stars, "stars")
 
     # full sets of the nodes that are in such a bucket, from one document of each
     wanted = lookup(nodes.select("node", "row.*"), members.select(F.col("node").alias("__n")).distinct(), {"node": "__n"}, "left_semi")
@@ -262,30 +291,37 @@ def clusters(
     wanted = wanted.select("node", F.col("text_hash").alias("__hash"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__doc"))
     found = texts.join(wanted, (F.col("text_hash") == F.col("__hash")) & (F.col("__id") == F.col("__doc")))
     found = found.groupBy("text_hash", "__id").agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
-    sets = written(found.mapInArrow(_sets(shingle), "node binary, items binary"), "near-sets", "uncompressed")
+    sets = tables.written(found.mapInArrow(_sets(shingle), "node binary, items binary"), "sets", "uncompressed")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         for end in ("a", "b"):
             items = sets.select(F.col("node").alias("__n"), F.col("items").alias(f"items_{end}"))
             pairs = lookup(pairs, items, {end: "__n"}, "inner")
         checked = pairs.select("a", "b", "items_a", "items_b").mapInArrow(_confirmed(percent), "a binary, b binary")
-        return written(checked, name)
+        return tables.written(checked, name)
 
     best = stars.groupBy("a").agg(F.min_by("b", F.struct("z", "b")).alias("b"))
-    links = confirmed(best, "near-best")
+    links = confirmed(best, "best")
     roots = components(links)
-    links = links.union(confirmed(_with_roots(stars.select("a", "b"), roots), "near-rest"))
+    links = links.union(confirmed(_with_roots(stars.select("a", "b"), roots), "rest"))
     roots = components(links)
+    tables.drop("stars")
 
     # buckets that hold several components
     rooted = lookup(members.select("key", "node"), roots.select(F.col("node").alias("__n"), "root"), {"node": "__n"})
-    rooted = written(rooted.select("key", "node", F.coalesce("root", "node").alias("root")), "near-rooted")
+    rooted = tables.written(rooted.select("key", "node", F.coalesce("root", "node").alias("root")), "rooted")
+    tables.drop("buckets")
     several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     open_rows = lookup(rooted, several.select(F.col("key").alias("__key")), {"key": "__key"}, "left_semi")
-    full = sets.select(F.col("node").alias("__n"), "items")
-    described = lookup(nodes.select("node", "n_shingles", "sketch", "keys"), full, {"node": "__n"}, "inner").withColumnRenamed("node", "__n")
-    open_rows = lookup(open_rows, described, {"node": "__n"}, "inner")
-    links = links.union(written(_links_in_blocks(open_rows, most, percent, block), "near-last"))
+    described = nodes.select(F.col("node").alias("__n"), "n_shingles", "sketch", "keys")
+    # sketches alone tell which rows of a bucket have others close to them; full sets move for these only
+    sketched = lookup(open_rows, described, {"node": "__n"}, "inner")
+    close = _in_blocks(sketched, block, _suspects(most, percent), "key bigint, node binary").distinct()
+    close = tables.written(close, "close").withColumnsRenamed({"key": "__key", "node": "__n"})
+    narrow = lookup(lookup(rooted, close, {"key": "__key", "node": "__n"}, "left_semi"), described, {"node": "__n"}, "inner")
+    full = lookup(narrow, sets.select(F.col("node").alias("__n"), "items"), {"node": "__n"}, "inner")
+    links = links.union(tables.written(_in_blocks(full, block, _cells(most, percent), "a binary, b binary"), "last"))
+    tables.drop("sets", "nodes", "rooted", "close")
     roots = components(links)
 
     rooted = lookup(ids, roots.select(F.col("node").alias("__n"), "root"), {"node": "__n"})
@@ -298,11 +334,17 @@ def clusters(
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """All columns of one document of each group; documents without words stay."""
-    chosen = clusters(docs, **settings).where(F.col("first")).select(
-        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), (F.col("n_shingles") == 0).alias("__alone"))
-    rows = docs.withColumn("__row", F.xxhash64("text"))
-    rows = rows.withColumn("__nth", F.row_number().over(W.partitionBy("doc_id", "__row").orderBy(F.lit(0))))
-    same = rows["doc_id"].eqNullSafe(F.col("__doc")) & (rows["__row"] == F.col("__hash"))
-    joined = rows.join(chosen.distinct(), same)
-    return joined.where((F.col("__nth") == 1) | F.col("__alone")).select(*docs.columns)
+    """All columns of one document of each group; documents without words stay.
+
+    Rows that stay as they are, the most, aren't moved: only ids and hashes of rows that go, and of rows that are there
+    more than once, meet the documents.
+    """
+    rows = clusters(docs, **settings).where(F.col("n_shingles") > 0).groupBy("doc_id", "text_hash")
+    rows = rows.agg(F.first("first").alias("__first"), F.count(F.lit(1)).alias("n")).where("NOT __first OR n > 1")
+    marked = Scratch(docs.sparkSession, "near-marked").written(
+        rows.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "__first"), "rows")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__row") == F.col("__hash"))
+    joined = docs.withColumn("__row", F.xxhash64("text")).join(marked, same, "left")
+    repeated = docs.withColumn("__row", F.xxhash64("text")).join(marked.where("__first"), same)
+    once = repeated.withColumn("__nth", F.row_number().over(W.partitionBy("doc_id", "__row").orderBy(F.lit(0)))).where("__nth = 1")
+    return joined.where(F.col("__first").isNull()).select(*docs.columns).unionByName(once.select(*docs.columns))

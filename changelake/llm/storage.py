@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,15 +28,48 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go as soon as each is done."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def saved(df: DataFrame, path: str, compression: str = "zstd") -> DataFrame:
+    """The rows written as Parquet and read again; the shuffles behind them are gone then."""
+    spark = df.sparkSession
+    with tidy(spark):
+        df.write.mode("overwrite").option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The rows written as Parquet to the shared folder and read again.
 
     Cuts the lineage: what follows survives lost executors and doesn't compute the rows twice.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return saved(df, shared_folder(df.sparkSession, name), compression)
+
+
+class Scratch:
+    """Intermediate tables of one run, in a folder of their own, each to be deleted after its last reader."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder = spark, shared_folder(spark, name)
+
+    def written(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+        return saved(df, f"{self.folder}/{name}", compression)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete(self.spark, f"{self.folder}/{name}")
 
 
 def _folder(spark: SparkSession, path: str) -> tuple:
