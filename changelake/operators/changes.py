@@ -17,7 +17,7 @@ from changelake.plans.filters import FilterExpression
 from changelake.plans.joins import lookup
 from changelake.plans.matching import local_predicate, previous_row_matches
 from changelake.plans.once import computed_once
-from changelake.plans.segments import SPAN, lead_value
+from changelake.plans.segments import SPAN, lead_once, lead_value
 from changelake.sources.schemas import SUMMARY_FIELDS
 
 STATUS_FIELD = "_status_code"
@@ -243,3 +243,26 @@ def field_transitions(
     return changes.withColumns({"new_value": known["value"], "is_resolved": known["value"].isNotNull()}).drop(
         "__next", "__now"
     )
+
+
+def settle_transitions(
+    batch: DataFrame, pending: DataFrame | None = None, field: str = STATUS_FIELD, *, skip_null: bool = False, span: int = SPAN
+) -> DataFrame:
+    """The changes of an integer field in a batch and those still open before it, each with what the record's next one tells.
+
+    Adds ``previous_value``, ``new_value`` and ``is_open``: a record's last change is open until a later batch has another.
+    ``pending`` are the open rows of the batch before, of the same columns; those that stay open are the next ``pending``.
+    Batches follow the log's order. The batch is read once.
+    """
+    rows = _changes(batch, field, skip_null)
+    if pending is not None:
+        rows = rows.unionByName(pending.select(*rows.columns))
+    rows = lead_once(rows, ["sqlrecord_id"], "id", "previous_value", "__next", span)
+    return rows.withColumns({"new_value": S.col("__next.value"), "is_open": S.col("__next").isNull()}).drop("__next")
+
+
+def close_transitions(pending: DataFrame, current: DataFrame, field: str = STATUS_FIELD) -> DataFrame:
+    """Open changes with the record's current value as ``new_value``: what ``field_transitions`` gives for each last one."""
+    now = current.select(S.col("id").alias("__current_id"), S.col(field).cast("bigint").alias("__now"))
+    rows = lookup(pending.drop("new_value"), now, {"sqlrecord_id": "__current_id"})
+    return rows.withColumn("new_value", S.col("__now")).drop("__now")

@@ -50,6 +50,23 @@ def lead_value(df: DataFrame, keys: Sequence[str], order: str, value: str, out:
     return joined.withColumn(out, F.coalesce("__inside", "__across")).drop("__inside", "__across")
 
 
+def lead_once(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, span: int = SPAN) -> DataFrame:
+    """``lead_value`` with the rows read and shuffled once.
+
+    Only the first and last rows of segments look across borders: among these, a last row's next one is the first of the
+    next segment. Both parts come from the same exchange.
+    """
+    rows = _segmented(df, span_of(F.col(order), span))
+    inside = W.partitionBy(*keys, _SEGMENT).orderBy(order)
+    held = F.struct(F.col(value).alias("value"))
+    rows = rows.withColumns({out: F.lead(held).over(inside), "__first": F.lag(F.lit(True)).over(inside).isNull()})
+    ends = rows.where(F.col("__first") | F.col(out).isNull())
+    across = F.lead(F.struct(F.col(value).alias("value"))).over(W.partitionBy(*keys).orderBy(order))
+    ends = ends.withColumn("__across", across).where(F.col(out).isNull()).withColumn(out, F.col("__across"))
+    names = [*df.columns, out]
+    return rows.where(F.col(out).isNotNull()).select(*names).unionByName(ends.select(*names))
+
+
 def numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str, segment: Column, total: str | None = None
 ) -> DataFrame:

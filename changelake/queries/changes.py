@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as S
 
@@ -318,6 +320,30 @@ def _statuses(events: DataFrame) -> DataFrame:
     )
 
 
+@named(
+    "c22_settled_batches", ("write_log", "branch"),
+    """WITH changes AS (SELECT id, sqlrecord_id, CAST(json_extract(data, '$._status_code') AS BIGINT) AS previous_value FROM write_log
+         WHERE event_type = 'UPDATE' AND table_name = 'reg_branch' AND sqlrecord_id IS NOT NULL AND list_contains(json_keys(data), '_status_code'))
+       SELECT c.id, c.sqlrecord_id, previous_value, CASE WHEN following IS NULL THEN CAST(b._status_code AS BIGINT) ELSE next_value END AS new_value
+       FROM (SELECT *, lead(previous_value) OVER w AS next_value, lead(id) OVER w AS following FROM changes WINDOW w AS (PARTITION BY sqlrecord_id ORDER BY id)) c
+       LEFT JOIN branch b ON b.id = c.sqlrecord_id""",
+)
+def c22_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transitions of the whole log from five batches, each read once."""
+    log = _log(spark, sf_dir).where("table_name = 'reg_branch'").select("id", "event_type", "sqlrecord_id", "data")
+    low, high = log.agg(S.min("id"), S.max("id")).first()
+    pending, settled, n = None, [], 5
+    for i in range(n):
+        batch = log.where(S.col("id").between(low + (high - low + 1) * i // n, low + (high - low + 1) * (i + 1) // n - 1))
+        folder = scratch_dir(spark, "settled")
+        C.settle_transitions(batch, pending).write.parquet(folder)
+        rows = spark.read.parquet(folder)
+        settled.append(rows.where("NOT is_open"))
+        pending = rows.where("is_open").drop("new_value", "is_open")
+    settled.append(C.close_transitions(pending, view(spark, sf_dir, "branch")))
+    return reduce(DataFrame.unionByName, [rows.select("id", "sqlrecord_id", "previous_value", "new_value") for rows in settled])
+
+
 @named("c23_status_events", ("write_log", "branch", "app_user"), _STATUS_SQL)
 def c23(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _statuses(E.status_events(catalog(spark, sf_dir), branch_name=["release-*", "fix-?"]))
@@ -606,6 +632,17 @@ def s14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_table(spark, twice.select("id", "event_type"))
 
 
+@named("s14_deliver_once", ("write_log",), "SELECT id, event_type FROM write_log")
+def s14_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of the log come a second time after all the others."""
+    out, checkpoint, folder = (scratch_dir(spark, name) for name in ("rows", "checkpoint", "log"))
+    log = _log(spark, sf_dir).select("id", "event_type")
+    for part in (0, 1, 2, 0, 2):
+        log.where(S.col("id") % 3 == part).coalesce(1).write.mode("append").parquet(folder)
+    streams.deliver_once(read_log_stream(spark, folder, max_files=1), out, checkpoint).awaitTermination()
+    return spark.read.parquet(f"{out}/batch=*").select("id", "event_type")
+
+
 @named(
     "s15_stream_gate", ("write_log",),
     """SELECT sqlrecord_id, id AS opened_at FROM (SELECT sqlrecord_id, id,

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from changelake.operators.changes import upload_completions
+from changelake.operators.delivered import SCHEMA, add_delivered, no_intervals, undelivered
 from changelake.operators.events import (
     artifact_events,
     block_events,
@@ -27,6 +28,7 @@ from changelake.operators.events import (
     record_events,
     status_events,
 )
+from changelake.plans.segments import SPAN
 from changelake.sources.catalog import Catalog
 
 Sink = Callable[[DataFrame, int], None]
@@ -150,6 +152,32 @@ def dedupe_stream(
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def deliver_once(
+    events: DataFrame, sink: Sink | str, checkpoint: str, *, interval: str | None = None, span: int = SPAN
+) -> StreamingQuery:
+    """Events of a stream whose log id hasn't been delivered before, whatever the delay.
+
+    The ids delivered so far are a table of intervals next to the checkpoint, written anew with each batch; a repeated
+    batch starts from the same one and replaces its own output.
+    """
+    write = parquet_sink(sink) if isinstance(sink, str) else sink
+    folder = f"{checkpoint.rstrip('/')}-delivered"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.schema(SCHEMA).parquet(f"{folder}/batch={batch_id - 1}") if batch_id else no_intervals(spark)
+        batch = batch.persist()
+        try:
+            write(undelivered(batch, known, span), batch_id)
+            add_delivered(known, batch.select("id"), span).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
 def _least_ids(n: int, keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A row for each gate in a batch of rows: how many it has, and its ``n`` least ids.
 
