@@ -1,16 +1,18 @@
 """Quality rules: plain limits, and robust multivariate outliers by language and source.
 
 Counts of each whole text are turned into a vector of roughly symmetric statistics. For every cell of language and
-source, a minimum-covariance-determinant estimate finds the centre and spread of the most concentrated share of the
-documents: from medians and median deviations, concentration steps keep that share of smallest distances and estimate
-anew, and a last step takes all documents inside the usual ellipse. Documents whose Mahalanobis distance from their
-cell is beyond the cutoff are rejected.
+source, for every language and for all documents, a minimum-covariance-determinant estimate finds the centre and spread
+of the most concentrated share of the documents: from two starts, concentration steps keep that share of smallest
+distances and estimate anew, the result of the least determinant counts, and a last step takes all documents inside the
+usual ellipse. A cell's estimate leans on its language's, and that on the one of all, as if they stood for a fixed
+number of rows: one rule for cells of any size, in which a cell's own rows soon outweigh the others. Documents whose
+Mahalanobis distance from their cell is beyond the cutoff are rejected.
 
 All steps are aggregates of a narrow table. Order statistics come from counts in fine bins, which add up in any order
-and spread a hot cell over all tasks. Cells with few documents are pooled by language, and each variance is at least
-the square of a floor, so that a statistic that hardly varies rejects nobody for a small difference.
+and spread a hot cell over all tasks. Each variance is at least the square of a floor, so that a statistic that hardly
+varies rejects nobody for a small difference.
 
-Null and empty texts have no words and fail the limits. Null languages and sources are cells like others. Rows are
+Null and empty texts have no words and fail the limits. Null languages and sources make cells of their own. Rows are
 judged one by one, repeated or not. Columns with other names stay out of the way; an empty table gives no rows.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changelake.llm.storage import written
-from changelake.llm.texts import SPACES, lines, words
+from changelake.llm.texts import SPACES, lines, set_aside, words
 from changelake.plans.joins import lookup
 from changelake.plans.once import computed_once
 
@@ -32,6 +34,7 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Least standard deviation of each statistic in ``statistics``.
 FLOORS = (0.5, 0.15, 0.5, 0.3, 0.1)
 SHARE = 0.75
+_ALL = "all"  # the cell of all documents; others are JSON texts
 _BINS = 256.0  # to a unit of a statistic, and to a unit of the logarithm of a squared distance
 
 
@@ -120,20 +123,26 @@ def _distance(d: int) -> Column:
     return total
 
 
-def _estimates(rows: DataFrame, floors: Sequence[float], factor: float) -> DataFrame:
-    """``mean`` and ``whiten`` of each cell from its rows, the covariance times a factor for consistency."""
+def _covariances(rows: DataFrame, floors: Sequence[float], factor: float) -> DataFrame:
+    """``mean`` and ``cov`` (the lower triangle, row by row) of each cell's rows, the covariance times a factor for consistency."""
     d = len(floors)
     x = [F.get("x", F.lit(i)) for i in range(d)]
     sums = [F.avg(x[i]).alias(f"m{i}") for i in range(d)]
     sums += [F.avg(x[i] * x[j]).alias(f"s{i}{j}") for i in range(d) for j in range(i + 1)]
     table = rows.groupBy("cell").agg(*sums)
-    covariance = {}
+    covariance = []
     for i in range(d):
         for j in range(i + 1):
             value = (F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * factor
-            covariance[f"s{i}{j}"] = F.greatest(value, F.lit(0.0)) + floors[i] ** 2 if i == j else value
-    table = table.withColumns(covariance)
-    zero = F.lit(0.0)
+            covariance.append(F.greatest(value, F.lit(0.0)) + floors[i] ** 2 if i == j else value)
+    return table.select("cell", F.array(*[F.col(f"m{i}") for i in range(d)]).alias("mean"), F.array(*covariance).alias("cov"))
+
+
+def _whitened(table: DataFrame, d: int) -> DataFrame:
+    """Adds ``whiten``, the inverse of the Cholesky factor of ``cov``, and ``log_det``, the logarithm of its determinant."""
+    own, zero = table.columns, F.lit(0.0)
+    place = {(i, j): i * (i + 1) // 2 + j for i in range(d) for j in range(i + 1)}
+    table = table.withColumns({f"s{i}{j}": F.get("cov", F.lit(at)) for (i, j), at in place.items()})
     for j in range(d):  # Cholesky, column by column
         pivot = F.col(f"s{j}{j}") - sum((F.col(f"l{j}{k}") * F.col(f"l{j}{k}") for k in range(j)), zero)
         table = table.withColumn(f"l{j}{j}", F.sqrt(F.greatest(pivot, F.lit(1e-12))))
@@ -148,44 +157,84 @@ def _estimates(rows: DataFrame, floors: Sequence[float], factor: float) -> DataF
             row[f"w{i}{j}"] = -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), zero) / F.col(f"l{i}{i}")
         table = table.withColumns(row)
     whiten = [F.col(f"w{i}{j}") if j <= i else zero for i in range(d) for j in range(d)]
-    return table.select("cell", F.array(*[F.col(f"m{i}") for i in range(d)]).alias("mean"), F.array(*whiten).alias("whiten"))
+    log_det = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(d)), zero)
+    return table.select(*own, F.array(*whiten).alias("whiten"), log_det.alias("log_det"))
 
 
 def _with_distance(rows: DataFrame, estimates: DataFrame, d: int) -> DataFrame:
-    joined = lookup(rows, estimates.withColumnRenamed("cell", "__cell"), {"cell": "__cell"})
+    joined = lookup(rows, estimates.select(F.col("cell").alias("__cell"), "mean", "whiten"), {"cell": "__cell"})
     return joined.withColumn("d2", _distance(d)).drop("mean", "whiten")
 
 
-def mcd(
-    rows: DataFrame, floors: Sequence[float] = FLOORS, share: float = SHARE, steps: int = 3, inside: float = 0.975
-) -> DataFrame:
-    """``mean`` and ``whiten`` of each ``cell`` of rows with a vector ``x``: the reweighted MCD estimates.
-
-    A step reads the rows and sums per cell; its estimates, a row for each cell, are written.
-    """
+def _median_start(rows: DataFrame, floors: Sequence[float]) -> DataFrame:
+    """Medians and, on the diagonal, squared median deviations."""
     d = len(floors)
     median = _quantiles(rows, F.col("x"), 0.5).withColumnsRenamed({"cell": "__cell", "q": "median"})
     centred = lookup(rows, median, {"cell": "__cell"})
     deviations = F.zip_with("x", "median", lambda x, m: F.abs(x - m))
     spread = _quantiles(centred.withColumn("x", deviations), F.col("x"), 0.5).withColumnRenamed("cell", "__of")
     start = median.join(spread, F.col("__cell") == F.col("__of"))
-    scale = [F.sqrt(F.pow(F.get("q", F.lit(i)) * 1.4826, F.lit(2.0)) + floors[i] ** 2) for i in range(d)]
-    whiten = [1 / scale[i] if i == j else F.lit(0.0) for i in range(d) for j in range(d)]
-    estimates = written(start.select(F.col("__cell").alias("cell"), F.col("median").alias("mean"), F.array(*whiten).alias("whiten")), "mcd")
+    diagonal = [F.pow(F.get("q", F.lit(i)) * 1.4826, F.lit(2.0)) + floors[i] ** 2 for i in range(d)]
+    cov = [diagonal[i] if i == j else F.lit(0.0) for i in range(d) for j in range(i + 1)]
+    return start.select(F.col("__cell").alias("cell"), F.col("median").alias("mean"), F.array(*cov).alias("cov"))
+
+
+def mcd(
+    rows: DataFrame, floors: Sequence[float] = FLOORS, share: float = SHARE, steps: int = 3, inside: float = 0.975,
+    starts: Sequence[str] = ("medians",),
+) -> DataFrame:
+    """``mean``, ``cov`` and ``whiten`` of each ``cell`` of rows with a vector ``x``: the reweighted MCD estimates.
+
+    Concentration steps go on from each of the ``starts``, ``medians`` (with median deviations) and ``means`` (with the
+    covariance of all rows); of their results, the one with the least determinant counts. A step reads the rows and sums
+    per cell; its estimates, a row for each cell and start, are written.
+    """
+    d = len(floors)
+    makers = {"medians": lambda: _median_start(rows, floors), "means": lambda: _covariances(rows, floors, 1.0)}
+
+    def of(start: str) -> Column:
+        return F.concat(F.lit(f"{start}:"), F.col("cell"))
+
+    first = [makers[start]().withColumn("cell", of(start)) for start in starts]
+    estimates = first[0]
+    for more in first[1:]:
+        estimates = estimates.unionByName(more)
+    estimates = written(_whitened(estimates, d), "mcd")
+    each = rows.select(F.explode(F.array(*[of(start) for start in starts])).alias("cell"), "x")
     # the nearest share of a normal cloud is this much narrower than the whole
     factor = share / chi2_below(chi2_quantile(share, d), d + 2)
     for _ in range(steps):
-        measured = _with_distance(rows, estimates, d).withColumn("place", F.log1p("d2"))
+        measured = _with_distance(each, estimates, d).withColumn("place", F.log1p("d2"))
         limit = _quantiles(measured, F.array("place"), share).select(F.col("cell").alias("__cell"), F.get("q", F.lit(0)).alias("limit"))
         nearest = lookup(measured, limit, {"cell": "__cell"}).where(F.col("place") < F.col("limit"))
-        estimates = written(_estimates(nearest, floors, factor), "mcd")
+        estimates = written(_whitened(_covariances(nearest, floors, factor), d), "mcd")
+    order = F.array_position(F.array(*[F.lit(start) for start in starts]), F.substring_index("cell", ":", 1))
+    plain = F.expr("substring(cell, length(substring_index(cell, ':', 1)) + 2)")
+    best = estimates.groupBy(plain.alias("of")).agg(F.min_by(F.struct("mean", "whiten"), F.struct("log_det", order)).alias("e"))
+    estimates = written(best.select(F.col("of").alias("cell"), "e.*"), "mcd")
     limit = chi2_quantile(inside, d)
     near = _with_distance(rows, estimates, d).where(F.col("d2") <= limit)
-    return written(_estimates(near, floors, inside / chi2_below(limit, d + 2)), "mcd")
+    return written(_whitened(_covariances(near, floors, inside / chi2_below(limit, d + 2)), d), "mcd")
+
+
+def _leaning(own: DataFrame, wider: DataFrame, d: int, prior_rows: int) -> DataFrame:
+    """Estimates of cells leaning on those of the wider cell ``up`` they belong to, as if that were ``prior_rows`` rows of theirs."""
+    above = wider.select(F.col("cell").alias("__up"), F.col("mean").alias("mean_up"), F.col("cov").alias("cov_up"))
+    joined = lookup(own, above, {"up": "__up"}, "inner")
+    w = F.col("n") / (F.col("n") + F.lit(float(prior_rows)))
+    a, b = "mean", "mean_up"
+    apart = [F.get(a, F.lit(i)) - F.get(b, F.lit(i)) for i in range(d)]
+    mean = [w * F.get(a, F.lit(i)) + (1 - w) * F.get(b, F.lit(i)) for i in range(d)]
+    pairs = [(i, j) for i in range(d) for j in range(i + 1)]
+    cov = [
+        w * F.get("cov", F.lit(at)) + (1 - w) * F.get("cov_up", F.lit(at)) + w * (1 - w) * apart[i] * apart[j]
+        for at, (i, j) in enumerate(pairs)
+    ]
+    return joined.select("cell", F.array(*mean).alias("mean"), F.array(*cov).alias("cov"))
 
 
 def judged(
-    docs: DataFrame, least_words: int = 50, most_repeats: int = 50, cell_rows: int = 50, cutoff: float = 1 - 1e-9, share: float = SHARE
+    docs: DataFrame, least_words: int = 50, most_repeats: int = 50, prior_rows: int = 50, cutoff: float = 1 - 1e-9, share: float = SHARE
 ) -> DataFrame:
     """All columns of the documents with ``COUNTS``, ``base_failed``, ``distance`` (null where it failed) and ``kept``.
 
@@ -196,26 +245,32 @@ def judged(
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeats * F.col("n_words"))
     counted = counted.withColumn("base_failed", failed)
     x = F.when(~F.col("base_failed"), F.array(*statistics()))
-    return _verdict(written(counted.withColumn("x", x), "quality"), cell_rows, cutoff, share).select(
+    return _verdict(written(counted.withColumn("x", x), "quality"), prior_rows, cutoff, share).select(
         *counted.columns, F.sqrt("d2").alias("distance"), F.col("kept")
     )
 
 
-def _verdict(rows: DataFrame, cell_rows: int, cutoff: float, share: float) -> DataFrame:
+def _verdict(rows: DataFrame, prior_rows: int, cutoff: float, share: float) -> DataFrame:
     """Adds ``d2`` and ``kept`` to rows with ``x``."""
-    own = F.to_json(F.struct("lang", "source"))
-    sizes = rows.where(F.col("x").isNotNull()).groupBy(own.alias("__own")).agg(F.count(F.lit(1)).alias("__n"))
-    keyed = lookup(rows.withColumn("__key", own), sizes, {"__key": "__own"})
-    large = F.coalesce(F.col("__n") >= cell_rows, F.lit(False))
-    keyed = keyed.withColumn("cell", F.when(large, F.col("__key")).otherwise(F.to_json(F.struct("lang"))))
-    narrow = written(keyed.where(F.col("x").isNotNull()).select("cell", "x"), "quality-cells")
-    estimates = mcd(narrow, share=share)
-    measured = _with_distance(keyed, estimates, len(FLOORS))
-    limit = chi2_quantile(cutoff, len(FLOORS))
-    return measured.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= limit, F.lit(False)))
+    d, whole = len(FLOORS), {"ignoreNullFields": "false"}
+    own, up = F.to_json(F.struct("lang", "source"), whole), F.to_json(F.struct("lang"), whole)
+    rows = rows.withColumn("cell", own)
+    judged_rows = rows.where(F.col("x").isNotNull()).select("cell", up.alias("up"), "x")
+    narrow = judged_rows.select(F.explode(F.array("cell", "up", F.lit(_ALL))).alias("cell"), "x")
+    estimates = mcd(written(narrow, "quality-cells"), share=share, starts=("medians", "means"))
+    sizes = written(judged_rows.groupBy("cell", "up").agg(F.count(F.lit(1)).alias("n")), "quality-sizes")
+    by_lang = sizes.groupBy(F.col("up").alias("cell")).agg(F.sum("n").alias("n")).withColumn("up", F.lit(_ALL))
+
+    def sized(table: DataFrame) -> DataFrame:
+        return lookup(table, estimates.select(F.col("cell").alias("__of"), "mean", "cov"), {"cell": "__of"}, "inner")
+
+    langs = _leaning(sized(by_lang), estimates, d, prior_rows)
+    cells = written(_whitened(_leaning(sized(sizes), langs, d, prior_rows), d), "quality-estimates")
+    limit = chi2_quantile(cutoff, d)
+    return _with_distance(rows, cells, d).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= limit, F.lit(False)))
 
 
 def good_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents that stay, with their own columns."""
-    rows = docs.withColumn("__row", F.struct(*docs.columns)).select("text", "lang", "source", "__row")
-    return judged(rows, **settings).where("kept").select("__row.*")
+    rows, own = set_aside(docs, (*COUNTS, "cell", "x", "d2", "base_failed", "distance", "kept"))
+    return judged(rows, **settings).where("kept").select(*own)

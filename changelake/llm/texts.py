@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: ``[\x20\x09-\x0D]``, what separates words.
@@ -30,3 +32,10 @@ def lower_ascii(text: Column) -> Column:
 def lines(text: Column) -> Column:
     """The text split at line feeds; a null or empty text is one empty line."""
     return F.split(F.coalesce(text, F.lit("")), "\n")
+
+
+def set_aside(docs: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """The table with columns of these names under other ones, and the columns that bring all of its own back."""
+    taken = {name.lower() for name in names}
+    own = {name: f"__own_{name}" for name in docs.columns if name.lower() in taken}
+    return docs.withColumnsRenamed(own), [F.col(own.get(name, name)).alias(name) for name in docs.columns]

@@ -115,3 +115,33 @@ def test_odd_cells(spark):
     good = good_documents(docs)
     assert good.columns == docs.columns and {r.doc_id for r in good.collect()} == {i for i, r in out.items() if r.kept}
     assert good_documents(docs.limit(0)).select(F.count("*")).first()[0] == 0
+
+
+def worded(n, seed, length=5, symbols=0):
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("abcdefghij"), max(1, int(rng.normal(length, 1))))) + str(i) for i in range(n)]
+    return " ".join(words + ["#$%"] * symbols)
+
+
+def test_small_cells_beside_a_null_source(spark):
+    good = [(i, worded(60 + i * 3 % 90, i), "en", None) for i in range(60)]
+    alone = {r.doc_id: r.kept for r in judged(spark.createDataFrame(good, "doc_id int, text string, lang string, source string")).collect()}
+    assert sum(alone.values()) >= 59
+    odd = [(1000 + i, worded(3000 + i * 100, i, 14, 900), "en", f"s{i // 4}") for i in range(40)]
+    odd += [(2000, worded(70, 3), None, None), (2001, worded(70, 4), "null", "null"), (2002, worded(80, 5), "all", None)]
+    both = judged(spark.createDataFrame(good + odd, "doc_id int, text string, lang string, source string"))
+    after = {r.doc_id: r.kept for r in both.collect()}
+    assert {i: after[i] for i in alone} == alone
+    assert after[2000] and after[2001] and after[2002]
+
+
+def test_the_start_of_least_determinant_counts(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 1, (800, 5)), rng.normal(9, 0.6, (150, 5))])
+    cells = {"a:b": x, "c": rng.normal(0, 2, (400, 5))}
+    rows = spark.createDataFrame([(c, row.tolist()) for c, v in cells.items() for row in v], "cell string, x array<double>")
+    found = {starts: {r["cell"]: r for r in mcd(rows, starts=starts).collect()} for starts in (("medians",), ("means",), ("medians", "means"))}
+    for cell in cells:
+        both, single = found["medians", "means"][cell], [found[(s,)][cell] for s in ("medians", "means")]
+        assert any(np.allclose(both["mean"], r["mean"]) and np.allclose(both["cov"], r["cov"]) for r in single)
+    assert np.abs(np.array(found["medians", "means"]["a:b"]["mean"])).max() < 0.3
