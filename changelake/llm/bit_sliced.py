@@ -10,9 +10,10 @@ Blocks of the index meet blocks of queries in a grid; each cell returns its ``k`
 and cells are merged by a heap-like aggregate of at most ``k`` rows from each cell. Neither side goes through the
 driver and no pair of rows is ever listed.
 
-Vectors that are null or have a null or non-finite component take no part, and vectors shorter than others count as
-zero in what they lack. A row repeated with the same id counts once for each repeat as a candidate; a query is an id,
-and all rows with it are its own. Null ids take no part. Extra columns are dropped.
+Vectors that are null or have a null or non-finite component take no part, nor do those too long for scores of 64 bits
+(``LONGEST``); vectors of fewer components than others count as zero in what they lack. A row repeated with the same id
+counts once for each repeat as a candidate; a query is an id, with the least of its vectors, and all rows with it are its
+own. Null ids take no part. Extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from changelake.llm.storage import ship, written
 
 ROWS, QUERIES = 32_768, 256
+#: Bound on the squared length of a scaled vector: products of shorter ones are numbers of 64 bits, whatever their dimension.
+LONGEST = float(1 << 61)
 
 
 def _digits(value: int) -> Iterator[tuple[int, int]]:
@@ -106,16 +109,17 @@ class Slices:
                     break
         rows = np.flatnonzero(np.unpackbits((sure | field).view(np.uint8), bitorder="little"))
         total = np.zeros(len(rows), np.int64)
-        for place, bits in enumerate(slices):
+        for place, bits in enumerate(slices[:64]):  # sums of 64 bits: what overflows on the way comes back with the constant
             total += (bits[rows >> 6] >> (rows & 63).astype(np.uint64) & 1).astype(np.int64) << place
-        return rows, total + constant
+        return rows, total + np.array(constant % (1 << 64), np.uint64).astype(np.int64)
 
 
 def quantised(vector: Column, scale: float) -> Column:
     """``floor(scale * x)`` of each component as double; null for vectors that take no part."""
-    values = F.transform(vector, lambda x: x.cast("double"))
-    bad = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.when(~bad, F.transform(values, lambda x: F.floor(x * F.lit(float(scale)))))
+    values = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    length = F.aggregate(vector, F.lit(0.0), lambda s, x: s + F.pow(x.cast("double") * F.lit(float(scale)), F.lit(2.0)))
+    return F.when(~bad & (length < LONGEST), values)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -171,7 +175,7 @@ def top_k(
     index = coded.select(
         dealt(row_blocks).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("c"), "id", "x", F.lit(False).alias("is_query")
     )
-    asked = coded.where("q").dropDuplicates(["id"]).select(
+    asked = coded.where("q").groupBy("id").agg(F.min("x").alias("x")).select(
         F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("r"), dealt(query_blocks).alias("c"), "id", "x", F.lit(True).alias("is_query")
     )
     cells = index.unionByName(asked).groupBy("r", "c").applyInArrow(_cell(k), "query_id bigint, vec_id bigint, score bigint")

@@ -69,3 +69,24 @@ def test_query_equals_sql(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
     want = sorted(con.execute(ORACLES["op2_top_k"]).fetchall())
     assert sorted(tuple(r) for r in QUERIES["op2_top_k"](spark, sf).collect()) == want
+
+
+def test_wild_vectors_and_repeated_queries(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(0, 1, 6) * 10.0 ** (i % 8)).tolist()) for i in range(200)]
+    rows += [(500, [1e9] * 6), (501, [-1.5e7, 1e7, 1e6, 0.0, 0.0, 1.0]), (502, [1e300] * 6), (503, [2.3e7, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    rows += [(0, [5.0] * 6), (0, [-5.0] * 6), (20, [0.5] * 6)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    scaled = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if sum((64 * x) * (64 * x) for x in v) < 2**61]
+    assert {i for i, _ in scaled} >= {501, 503} and not {500, 502} & {i for i, _ in scaled}
+    asked: dict = {}
+    for i, v in scaled:
+        if i % 20 == 0:
+            asked[i] = min(asked.get(i, v), v)
+    want = {}
+    for i, q in asked.items():
+        best = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in scaled if j != i)[:20]
+        want |= {(i, rank): (j, -score) for rank, (score, j) in enumerate(best, 1)}
+    for small in ({}, {"rows": 40, "queries": 3}):
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in top_k(df.repartition(3), F.col("vec_id") % 20 == 0, **small).collect()}
+        assert got == want
