@@ -4,8 +4,8 @@
 counts over all documents; the codes follow from the lengths. ``segments`` holds documents in ascending order of their
 ids: the coded bits of some hundred thousand ids, the documents' ids and sizes, the place of the first id in the whole,
 and the bit offset of every 128th id. A segment is decoded by itself, and inside it all blocks of 128 ids are decoded
-side by side, each from its offset, by looking up the next bits in a table. ``ids`` holds the uncoded ids between
-the two passes that counting and coding need.
+side by side, each from its offset, by looking up the next bits in a table. Between the pass that encodes and counts and
+the one that codes, ``ids`` holds the uncoded ids.
 
 Null and empty texts have the end id only. Null document ids come first; rows with one id follow each other by a hash
 of their text. Extra columns are dropped, and no documents make files without segments.
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm.storage import ship
+from changelake.llm.storage import delete, saved, ship
 from changelake.llm.tokens import encoded
 
 BLOCK = 128
@@ -143,11 +143,33 @@ def _segments(code: Code, starts: dict[int, int], size: int):
     return run
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, and behind a task's last one a row of place -1 whose ``ids`` say how often each id occurs in it."""
+    total, batch = np.zeros(0, np.int64), None
+    for batch in batches:
+        values = batch.column(4)
+        ends = values.offset, values.offset + len(values)
+        at = np.frombuffer(values.buffers()[1], np.int32)
+        own = np.bincount(np.frombuffer(values.buffers()[2], "<u4", (int(at[ends[1]]) - int(at[ends[0]])) // 4, int(at[ends[0]])))
+        if len(own) > len(total):
+            total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
+        total[: len(own)] += own
+        yield batch
+    if batch is not None:
+        part, place, doc, n, _, before = (batch.schema.field(i) for i in range(6))
+        rows = [
+            batch.column(0).slice(0, 1), pa.array([-1], place.type), pa.nulls(1, doc.type), pa.array([0], n.type),
+            pa.array([total.astype("<i8").tobytes()], pa.binary()), pa.array([0], before.type),
+        ]
+        yield pa.RecordBatch.from_arrays(rows, names=batch.schema.names)
+
+
+def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of all rows of a task, added up, as rows of id and number."""
     total = np.zeros(0, np.int64)
     for batch in batches:
         for data in batch.column(0):
-            own = np.bincount(np.frombuffer(data.as_buffer(), "<u4"))
+            own = np.frombuffer(data.as_buffer(), "<i8")
             if len(own) > len(total):
                 total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
             total[: len(own)] += own
@@ -164,11 +186,13 @@ def write_tokens(
     order = ["doc_id", F.xxhash64("text")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = docs.select("doc_id", "text").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    coded = encoded(ranged, path, end_id, added_tokens=added_tokens)
-    coded.write.option("compression", "zstd").parquet(f"{folder}/ids")
-    ids = spark.read.schema(coded.schema).parquet(f"{folder}/ids")
-    # at most as many rows as the vocabulary has
-    counted = ids.select("ids").mapInArrow(_counted, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"part int, idx bigint, doc_id {kind}, n_tokens bigint, ids binary, before bigint"
+    ids = saved(encoded(ranged, path, end_id, _with_counts, schema, added_tokens), f"{folder}/ids")
+    # a row of counts for each task, added up in as many tasks as run at once; then at most as many rows as the vocabulary has
+    counts = ids.where("idx < 0").select("ids").coalesce(spark.sparkContext.defaultParallelism)
+    counted = counts.mapInArrow(_added_up, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    ids = ids.where("idx >= 0")
     counts = counted.toPandas().sort_values("id")
     limit = max(LIMIT, (len(counts) - 1).bit_length())
     lengths = code_lengths(counts["n"].to_numpy(), limit)
@@ -180,9 +204,9 @@ def write_tokens(
     starts, total = {}, 0
     for part, n in sums:
         starts[part], total = total, total + n
-    kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"part int, start bigint, n_ids bigint, doc_ids array<{kind}>, doc_tokens array<bigint>, bits binary, checkpoints array<bigint>"
-    ids.mapInArrow(_segments(code, starts, segment), schema).write.option("compression", "uncompressed").parquet(f"{folder}/segments")
+    saved(ids.mapInArrow(_segments(code, starts, segment), schema), f"{folder}/segments", "uncompressed")
+    delete(spark, f"{folder}/ids")
 
 
 def _decoded(code: Code):

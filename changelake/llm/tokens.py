@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?|()"
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?|()%*&$#"
 _LATIN = re.compile(f"[{_LETTERS}]+")
 _PLAIN = re.compile(rf"[{_LETTERS}]+[{_MARKS}]*(?:\n[{_LETTERS}]+[{_MARKS}]*)*")
 _PIECES = re.compile(rf"[{_LETTERS}]+|[{_MARKS}]+|\n")
@@ -62,6 +62,11 @@ class Encoder(dict):
         self.half, self.older = remembered // 2, {}
         self.space = self.alphabet[0x20] if self.spaced else ""
         self.marks = {mark: self._library(mark) for mark in _MARKS}
+        # a letter of Latin-1 as the characters of its two bytes
+        self.latin = {c: "".join(self.alphabet[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.tokenize = self.model.tokenize
+        self.runs: dict[str, bytes] = {}
+        self.newline = self._library("\n") if self.spaced else b""
 
     def _library(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -80,10 +85,41 @@ class Encoder(dict):
         return self._bytes([token.id for token in self.model.tokenize(before + piece)])
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word of letters behind a space."""
+        """Ids of a word of Latin letters behind a space."""
         if not self.spaced and not word.islower():
             return self[word.lower()]
-        return self._piece(word, self.space)
+        shown = word if word.isascii() else word.translate(self.latin)
+        return self._bytes([token.id for token in self.tokenize(self.space + shown)])
+
+    def _run(self, marks: str) -> bytes:
+        """Ids of a run of marks, none for an empty one."""
+        ids = self.runs.get(marks)
+        if ids is None:
+            ids = self._piece(marks) if marks else b""
+            if len(marks) < 9:  # no more than fit
+                if len(self.runs) > 50_000:
+                    self.runs.clear()
+                self.runs[marks] = ids
+        return ids
+
+    def _line(self, line: str) -> bytes:
+        """Ids of a plain word and its marks behind a line feed; remembered under a key of their own."""
+        if not self.spaced:
+            return self[line]
+        key = f"\n{line}"
+        ids = self.get(key) or self.older.get(key)
+        if ids is None:
+            word = line.rstrip(_MARKS)
+            ids = self[key] = self.newline + self._piece(word) + self._run(line[len(word) :])
+        return ids
+
+    def _plain(self, chunk: str) -> bytes:
+        """Ids of plain lines behind a space, each a word with marks; of several lines, only these are remembered."""
+        first, *more = chunk.split("\n")
+        if more:
+            return self[first] + b"".join([self._line(line) for line in more])
+        word = chunk.rstrip(_MARKS)
+        return self[word] + self._run(chunk[len(word) :])
 
     def _chunk(self, chunk: str, spaced: bool) -> bytes:
         if not _PLAIN.fullmatch(chunk):
@@ -96,15 +132,19 @@ class Encoder(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
-            word, mark = chunk[:-1], self.marks.get(chunk[-1:])
-            if chunk.isascii() and chunk.isalpha() or _LATIN.fullmatch(chunk):
-                ids = self._word(chunk)
-            elif mark and _LATIN.fullmatch(word):
-                ids = self[word] + mark
+            word, mark = (chunk, b"") if chunk.isalpha() else (chunk[:-1], self.marks.get(chunk[-1:]))
+            if mark is not None and word.isalpha() and (word.isascii() or _LATIN.fullmatch(word)):
+                # a word that only comes with a mark isn't remembered without it
+                ids = (self.get(word) or self.older.get(word) or self._word(word)) + mark
             else:
                 if self.spaced and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
                     raise _Unsafe
-                ids = self._chunk(chunk, self.spaced)
+                if _PLAIN.fullmatch(chunk):
+                    ids = self._plain(chunk)
+                    if "\n" in chunk:
+                        return ids
+                else:
+                    ids = self._chunk(chunk, self.spaced)
         self[chunk] = ids
         return ids
 
