@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from changelake.llm.storage import ship, written
 from changelake.llm.tokens import encoded
+from changelake.plans.joins import lookup
 
 
 def lengths(n: int, longest: int) -> list[int]:
@@ -68,12 +69,16 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, longest: int = 2048, added
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"part int, doc_id {kind}, start bigint, length bigint, doc_tokens bigint, nth bigint, ids binary"
     pieces = written(encoded(docs, path, end_id, _cut(longest), schema, added_tokens), "packed")
-    # a row for each task and length
-    counts = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    order = W.orderBy(F.col("length").desc(), "part").rowsBetween(W.unboundedPreceding, -1)
-    first = counts.select("length", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("first"))
-    # the pieces stay where they are: as many rows on this side as tasks times lengths
-    joined = pieces.join(F.broadcast(first), ["length", "part"])
+    # a row for each task and length: numbered inside each length, and the lengths among themselves
+    counts = written(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "packed-counts")
+    upwards = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    own = counts.withColumn("first", F.coalesce(F.sum("n").over(upwards), F.lit(0)))
+    buckets = counts.groupBy(F.col("length").alias("__length")).agg(F.sum("n").alias("__n"))  # as many rows as lengths
+    buckets = buckets.withColumn("base", F.coalesce(F.sum("__n").over(W.orderBy(F.col("__length").desc()).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    first = lookup(own, buckets.drop("__n"), {"length": "__length"}, "inner")
+    first = written(first.select(F.col("length").alias("__of"), F.col("part").alias("__part"), (F.col("first") + F.col("base")).alias("first")), "packed-first")
+    # written, so that Spark knows its size: the pieces stay where they are while it is small enough to be sent to them
+    joined = lookup(pieces, first, {"length": "__of", "part": "__part"}, "inner")
     return joined.select(
         (F.col("first") + F.col("nth")).alias("sequence_id"), "doc_id", "start", "length",
         F.lit(0).cast("bigint").alias("offset"), "doc_tokens", "ids",
