@@ -176,15 +176,23 @@ def per_row(mix: DataFrame) -> DataFrame:
 
 
 def mixture(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix, each as often as it was drawn; all columns."""
-    mix = mixed(docs, **settings).select(
-        F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("text_hash").alias("__hash"),
-        F.col("copies").alias("__copies"), F.col("extra").alias("__extra"),
+    """The documents of the mix, each as often as it was drawn; all columns.
+
+    Only rows that agree with others in source, id and text are numbered, and they alone are sorted for it.
+    """
+    mix = written(
+        mixed(docs, **settings).select(
+            F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("text_hash").alias("__hash"),
+            F.col("copies").alias("__copies"), F.col("extra").alias("__extra"), F.col("n_rows").alias("__rows"),
+        ),
+        "mix",
     )
     rows = docs.withColumn("__row", F.xxhash64("text"))
-    same = ["source", "doc_id", "__row"]
-    rows = rows.withColumn("__nth", F.row_number().over(W.partitionBy(*same).orderBy(F.lit(0))))
     match = rows["source"].eqNullSafe(F.col("__source")) & rows["doc_id"].eqNullSafe(F.col("__doc")) & (F.col("__row") == F.col("__hash"))
+    single = rows.join(mix.where("__rows = 1"), match).withColumn("__nth", F.lit(1))
+    several = rows.join(written(mix.where("__rows > 1"), "mix-repeats"), match)
+    several = several.withColumn("__nth", F.row_number().over(W.partitionBy("source", "doc_id", "__row").orderBy(F.lit(0))))
+    joined = single.unionByName(several)
     copies = F.col("__copies") + F.when(F.col("__nth") <= F.col("__extra"), 1).otherwise(0)
-    joined = rows.join(mix, match).withColumn("__n", copies).where(F.col("__n") > 0)
+    joined = joined.withColumn("__n", copies).where(F.col("__n") > 0)
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n"))).select(*docs.columns)

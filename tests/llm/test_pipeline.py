@@ -44,3 +44,32 @@ def test_run(spark):
     assert names == ["quality_rules", "line_dedup", "near_dedup", "mixing", "packing"]
     df = corpus_pipeline.run(spark, SF)
     assert df.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and df.count() > 100
+
+
+def test_odd_rows_and_columns(spark):
+    """Nulls, empty and repeated rows, and columns named like those the operators add."""
+    def text(i):
+        return "\n".join(" ".join(f"w{(i * 31 + n * 17 + k * k * 7) % 997}" for k in range(12)) for n in range(8))
+
+    rows = [(i, text(i), "en" if i % 3 else None, f"s{i % 2}" if i % 5 else None) for i in range(60)]
+    rows += [(None, text(3), "en", "s1"), (None, None, None, None), (70, "", "en", "s0"), (71, None, "en", "s0"), (5, text(5), "en", "s1"), (5, text(5), "en", "s1")]
+    own = [(*r, 0, 777, "own", 3.5, True, r[0]) for r in rows]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_lines int, n_dropped string, x double, kept boolean, cell bigint"
+    docs = spark.createDataFrame(own, schema)
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, SF)
+        assert out.dtypes == docs.dtypes, name
+        found = out.collect()
+        assert found and all((r.n_lines, r.n_dropped, r.x, r.kept, r.cell) == (777, "own", 3.5, True, r.doc_id) for r in found), name
+        if name == "near_dedup":
+            assert len({r.doc_id for r in found}) == len(found)
+    packed = corpus_pipeline.STAGES[-1][1](spark, out, SF).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in found}
+
+
+def test_no_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.collect() == []
