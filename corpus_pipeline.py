@@ -3,6 +3,11 @@
 Quality rules drop documents, line dedup drops lines, near-dedup keeps one document of each group, mixing repeats or
 leaves out documents so that sources reach their targets, and packing cuts the ids of what is left into sequences. All
 but the last return the columns of ``documents``; ``n_chars`` follows the text.
+
+Null and empty texts fail the quality rules, so later stages meet empty texts only where all lines went; such a document
+stays and is a sequence of its end id alone. Null ids, languages and sources are values like others. Rows that agree in
+id and text are copies: one of them passes near-dedup. An empty table gives no sequence. Columns that a corpus has
+besides go through all stages but the last untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +23,8 @@ from changelake.llm.mixing import mixture
 from changelake.llm.near_dup import one_of_each
 from changelake.llm.outliers import good_documents
 from changelake.llm.packing import pack
-from changelake.llm.storage import written
+from changelake.llm.storage import Scratch
+from changelake.llm.texts import set_aside
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,8 +36,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 characters and more in three or more documents stay in the newest only."""
-    kept = dedup_lines(docs, min_docs=3, min_chars=20)
-    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    rows, own = set_aside(docs, ("n_lines", "n_dropped"))
+    kept = dedup_lines(rows, min_docs=3, min_chars=20)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*own)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +69,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written before the next reads it."""
+    """All stages over ``documents``, each written before the next reads it and deleted once that is written."""
+    tables, last = Scratch(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = tables.written(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            tables.drop(last)
+        last = name
     return STAGES[-1][1](spark, docs, sf_dir)
