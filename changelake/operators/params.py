@@ -21,8 +21,8 @@ SECRET_NAMES = ("var", "conn")
 # braces and percent signs, written as they are or as escapes
 _MAY_BE_TEMPLATE = r"(?:\{|\\u007[bB])(?:[{%]|\\u007[bB]|\\u0025)"
 #: Characters of a secret's anchor, bits of the map that all anchors are in, characters of a text that are cut at once,
-#: and texts that tell which pieces are rare.
-GRAM, BITS, CHUNK, SAMPLE = 6, 1 << 18, 256, 10_000
+#: and the share of texts, one in so many, that tells which pieces are rare.
+GRAM, BITS, CHUNK, SAMPLE = 6, 1 << 18, 256, 64
 
 
 def _values(params: Column) -> Column:
@@ -71,14 +71,14 @@ def exclude_templated(df: DataFrame, mode: str = "secrets", column: str = "param
 def _anchors(secrets: DataFrame, texts: DataFrame) -> DataFrame:
     """Each secret with ``size`` and ``anchor``, the hash of the rarest of its pieces of ``GRAM`` characters.
 
-    A shorter secret is its own piece. How rare a piece is comes from a bounded sample of texts (``SAMPLE``); it decides
+    A shorter secret is its own piece. How rare a piece is comes from the beginnings of some texts (``SAMPLE``); it decides
     how many places are looked at twice, not what is found.
     """
     size = S.least(S.length("__secret"), S.lit(GRAM))
     pieces = secrets.select("__secret", size.alias("size"), S.explode(S.sequence(S.lit(1), S.length("__secret") - size + 1)).alias("at"))
     pieces = pieces.withColumn("anchor", S.xxhash64(S.substr("__secret", S.col("at"), S.col("size"))))
     sizes = secrets.agg(S.collect_set(size)).scalar()  # at most as many as ``GRAM``
-    sampled = texts.limit(SAMPLE).select(S.explode(_chunks(S.substr("text", S.lit(1), S.lit(CHUNK)))).alias("chunk"))
+    sampled = texts.where(S.pmod(S.xxhash64("text"), S.lit(SAMPLE)) == 0).select(S.explode(_chunks(S.substr("text", S.lit(1), S.lit(CHUNK)))).alias("chunk"))
     usual = _places(sampled, sizes).groupBy(S.col("hash").alias("__hash")).agg(S.count(S.lit(1)).alias("n"))
     rated = lookup(pieces, usual, {"anchor": "__hash"})
     best = S.min_by(S.struct("size", "anchor"), S.struct(S.coalesce("n", S.lit(0)), "at"))
