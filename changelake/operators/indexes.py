@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from changelake.functions.patterns import glob_columns
 from changelake.operators.query import search_condition
+from changelake.plans.groups import expanded, group_counts
 from changelake.plans.once import computed_once, let
 
 GRAM = 3
@@ -72,10 +73,13 @@ def match_patterns(names: DataFrame, patterns: DataFrame, *, name: str = "name",
 
     A pattern is looked up by the beginning of its longest piece without wildcards, among all runs of that length in the
     names; one without such a piece by its length, if that is fixed. Only patterns like ``*`` meet every name. What is
-    found is checked with the pattern as a regular expression. Null names and patterns match nothing.
+    found is checked with the pattern as a regular expression. Null names and patterns match nothing. Rows of one pattern
+    are looked up once, and taken from their groups in the end.
     """
 
-    globs = computed_once(patterns.where(S.col(pattern).isNotNull()), __glob=glob_columns(S.col(pattern)))
+    asked = patterns.where(S.col(pattern).isNotNull()).withColumn("__pattern", S.col(pattern))
+    counts = group_counts(asked, ["__pattern"])
+    globs = computed_once(counts, __glob=glob_columns(S.col("__pattern")))
     piece = S.substr("__glob.piece", S.lit(1), S.lit(PIECE))
     key = S.when(piece != "", S.concat(S.lit("p"), piece)).when(S.col("__glob.length").isNotNull(), S.concat(S.lit("n"), S.col("__glob.length").cast("string"))).otherwise("*")
     globs = globs.withColumns({"__key": key, "__size": S.length(piece)})
@@ -92,5 +96,5 @@ def match_patterns(names: DataFrame, patterns: DataFrame, *, name: str = "name",
     keys = S.when(S.col("__length") == 0, whole).otherwise(S.array_distinct(let(S.split(text, ""), runs)))
     rows = rows.withColumn("__name_key", S.explode(keys))
     joined = rows.join(globs, S.col("__name_key") == S.col("__key"))
-    joined = joined.where(S.regexp(text, S.col("__glob.regex")))
-    return joined.drop("__glob", "__key", "__size", "__name_key", "__length")
+    joined = joined.where(S.regexp(text, S.col("__glob.regex"))).drop("__glob", "__key", "__size", "__name_key", "__length")
+    return expanded(joined, ["__pattern"], asked, ["__pattern"], counts)
