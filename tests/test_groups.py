@@ -6,6 +6,7 @@ import random
 
 from pyspark.sql import functions as S
 
+from changelake.operators import subscriptions as U
 from changelake.operators.indexes import match_patterns
 from changelake.plans.groups import expanded, group_counts
 
@@ -32,3 +33,12 @@ def test_repeated_patterns_are_looked_up_once(spark):
     assert {tuple(r) for r in found.groupBy("id").count().collect()} == {(i, 3000 * (i < 10) + 3 * (str(i)[0] == "1")) for i in range(40) if i < 20}
     assert found.count() == 30_000 + 33
     assert "RoundRobinPartitioning" in found._jdf.queryExecution().toString()  # the product is dealt to all tasks
+
+
+def test_subscribers_of_a_start_are_joined_in_groups(spark):
+    matches = spark.createDataFrame([("c", i, "created") for i in range(20)], "criterion string, id long, event string").coalesce(1)
+    members = [(i, "c", None) for i in range(2500)] + [(9000 + i, "c", 10 + i % 2) for i in range(50)] + [(1, "d", None), (1, "c", None)]
+    got = U.delivered(matches, spark.createDataFrame(members, "sub_id long, criterion string, start_id long"))
+    assert got.columns == ["sub_id", "id", "event"] and got.count() == 20 * 2501 + 25 * 9 + 25 * 8
+    assert got.distinct().count() == 20 * 2500 + 25 * 9 + 25 * 8
+    assert "RoundRobinPartitioning" in got._jdf.queryExecution().toString()
