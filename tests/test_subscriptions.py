@@ -6,6 +6,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as S
 
 from changelake.operators import subscriptions as U
 from changelake.operators.events import match_subscriptions
@@ -113,3 +114,11 @@ def test_one_stream_for_all(spark, watched, tmp_path):
     assert len(query.recentProgress) >= 4
     got = spark.read.parquet(f"{out}/batch=*")
     assert sorted((r["sub_id"], r["id"], r["event"]) for r in got.collect()) == plain(log, subs, ("t_user",))
+
+
+def test_totals_move_only_blocks_with_starts(spark):
+    matches = spark.range(1000).select(S.lit("c").alias("criterion"), "id")
+    membership = spark.createDataFrame([(1, "c", None), (2, "c", 25), (3, "c", 999), (4, "c", -5), (5, "d", 3), (6, "c", 5000)], "sub_id int, criterion string, start_id long")
+    got = {r["sub_id"]: (r["n_events"], r["first_id"], r["last_id"]) for r in U.totals(matches, membership, 10).collect()}
+    assert got == {1: (1000, 0, 999), 2: (974, 26, 999), 3: (0, None, None), 4: (1000, 0, 999), 5: (0, None, None), 6: (0, None, None)}
+    assert "__block" in U.totals(matches, membership)._jdf.queryExecution().toString()
