@@ -28,6 +28,7 @@ from changelake.operators.events import (
     record_events,
     status_events,
 )
+from changelake.operators.subscriptions import match_criteria
 from changelake.plans.segments import SPAN
 from changelake.sources.catalog import Catalog
 
@@ -102,9 +103,11 @@ def batch_operator(
         return lambda log, _: block_events(catalog, log=log, **options)
     if kind == "subscriptions":
         return lambda log, _: match_subscriptions(log, **options)
+    if kind == "criteria":
+        return lambda log, _: match_criteria(log, **options)
     if kind == "custom":
         return lambda log, _: custom_events(catalog, log=log, **options)
-    raise ValueError(f"unknown kind {kind!r}; known: record, artifact, status, block, subscriptions, custom")
+    raise ValueError(f"unknown kind {kind!r}; known: record, artifact, status, block, subscriptions, criteria, custom")
 
 
 def stream_events(
@@ -124,7 +127,8 @@ def stream_events(
     its own start on, so let the batch operator report a long past and start the stream behind it.
 
     The kind ``subscriptions`` serves a whole table of watchers from one stream: start it at the least of their
-    positions and give each its own as ``start_id``.
+    positions and give each its own as ``start_id``. ``criteria`` writes the matches of distinct criteria only, as many
+    for any number of watchers; ``subscriptions.delivered`` and ``totals`` take each watcher's from them.
     """
     write = parquet_sink(sink) if isinstance(sink, str) else sink
     operator = batch_operator(kind, catalog, f"{checkpoint.rstrip('/')}-completions", **options)

@@ -116,6 +116,27 @@ def test_one_stream_for_all(spark, watched, tmp_path):
     assert sorted((r["sub_id"], r["id"], r["event"]) for r in got.collect()) == plain(log, subs, ("t_user",))
 
 
+@pytest.mark.parametrize("span", [7, 1_000_000])
+def test_totals_by_event_of_a_stream_of_criteria(spark, watched, tmp_path, span):
+    from changelake.sources.readers import read_log_stream
+
+    log, subs = watched
+    subs = [s for n, s in enumerate(subs) if n < 153]
+    cat = catalog_of(spark, log)
+    for low, high in itertools.pairwise((0, 90, 300, 9999)):
+        cat.log().where(f"id > {low} AND id <= {high}").coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    criteria, membership = U.interned(spark.createDataFrame(subs, SCHEMA))
+    out = str(tmp_path / "out")
+    streams.stream_events("criteria", read_log_stream(spark, str(tmp_path / "log"), max_files=1), cat, out, str(tmp_path / "cp"), criteria=criteria).awaitTermination()
+    matches = spark.read.parquet(f"{out}/batch=*")
+    assert matches.count() == U.match_criteria(cat.log(), criteria).count()  # not one row for each subscriber
+    want: dict = {}
+    for n, i, event in plain(log, subs):
+        want.setdefault((n, event), []).append(i)
+    got = U.totals(matches, membership, span, by=["event"]).collect()
+    assert sorted(tuple(r)[:1] + tuple(r)[2:] for r in got) == sorted((n, e, len(ids), min(ids), max(ids)) for (n, e), ids in want.items())
+
+
 def test_totals_move_only_blocks_with_starts(spark):
     matches = spark.range(1000).select(S.lit("c").alias("criterion"), "id")
     membership = spark.createDataFrame([(1, "c", None), (2, "c", 25), (3, "c", 999), (4, "c", -5), (5, "d", 3), (6, "c", 5000)], "sub_id int, criterion string, start_id long")
