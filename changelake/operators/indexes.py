@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as S
 from pyspark.sql import types as T
 
@@ -36,8 +37,13 @@ def text_postings(df: DataFrame, columns: Sequence[str] | None = None, id: str =
     """
     names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)] if columns is None else list(columns)
     texts = S.array_compact(S.array(*[S.lower(S.col(name)) for name in names])) if names else S.array().cast("array<string>")
-    rows = df.where(S.col(id).isNotNull()).select(S.col(id).alias("id"), S.explode(texts).alias("text")).where("text <> ''")
-    return rows.select("id", S.explode(_grams(S.col("text"))).alias("gram")).distinct().select("gram", "id")
+    rows = df.where(S.col(id).isNotNull()).select(S.col(id).alias("id"), S.filter(texts, lambda text: text != "").alias("texts")).where(S.size("texts") > 0)
+    # the short rows are dealt by id, not their grams; those of one row are told apart inside it
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+    rows = rows.withColumn("__rows", S.count(S.lit(1)).over(W.partitionBy("id")))
+    grams = S.explode(S.array_distinct(S.flatten(S.transform("texts", lambda text: _grams(text))))).alias("gram")
+    alone = rows.where(S.col("__rows") == 1).select(grams, "id")
+    return alone.unionByName(rows.where(S.col("__rows") > 1).select(grams, "id").distinct())
 
 
 def write_postings(postings: DataFrame, path: str, files: int | None = None) -> None:
@@ -61,8 +67,12 @@ def search_postings(df: DataFrame, postings: DataFrame, text: str, columns: Sequ
     grams = _needle(df.sparkSession, text)
     short = len(grams) == 1 and len(grams[0]) < GRAM
     rows = postings.where(S.contains(S.col("gram"), S.lit(grams[0])) if short else S.col("gram").isin(grams))
-    found = rows.groupBy(S.col("id").alias("__id")).agg(S.count_distinct("gram").alias("n")) if not short else rows.select(S.col("id").alias("__id")).distinct()
-    found = found if short else found.where(S.col("n") == len(grams)).select("__id")
+    # a bit for each gram, shared by several in needles of more than 63
+    bits = S.lit(0).cast("bigint")
+    for n, gram in enumerate([] if short else grams):
+        bits = S.when(S.col("gram") == gram, S.lit(1 << n % 63).cast("bigint")).otherwise(bits)
+    every = 0 if short else (1 << min(len(grams), 63)) - 1
+    found = rows.groupBy(S.col("id").alias("__id")).agg(S.bit_or(bits).alias("n")).where(S.col("n") == every).select("__id")
     searched = df if columns is None else df.select(*columns)
     near = df.join(found, S.col(id) == S.col("__id"), "left_semi") if text else df
     return near.where(search_condition(searched, text))

@@ -67,3 +67,15 @@ def test_many_patterns_and_names(spark, seed):
     plan = match_patterns(left, right)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert match_patterns(left, right.limit(0)).collect() == [] and match_patterns(left.limit(0), right).collect() == []
+
+
+def test_rows_are_dealt_before_their_grams(spark, tmp_path):
+    df = spark.createDataFrame([(1, "abcabc", "bca"), (2, "abc", None), (2, "xabc", "abc"), (3, "".join(chr(200 + i) for i in range(90)), None)], "id int, name string, note string")
+    postings = text_postings(df)
+    assert sorted((r["id"], r["gram"]) for r in postings.where("id < 3").collect()) == [(1, "abc"), (1, "bca"), (1, "cab"), (2, "abc"), (2, "xab")]
+    assert "hashpartitioning(id" in postings._jdf.queryExecution().toString()  # not by one task for each file
+    write_postings(postings, str(tmp_path / "p"), 2)
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    text = "".join(chr(200 + i) for i in range(5, 85))  # more than 63 grams
+    assert [r["id"] for r in search_postings(df, stored, text).collect()] == [3]
+    assert search_postings(df, stored, text + "!").collect() == []
