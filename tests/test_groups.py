@@ -42,3 +42,22 @@ def test_subscribers_of_a_start_are_joined_in_groups(spark):
     assert got.columns == ["sub_id", "id", "event"] and got.count() == 20 * 2501 + 25 * 9 + 25 * 8
     assert got.distinct().count() == 20 * 2500 + 25 * 9 + 25 * 8
     assert "RoundRobinPartitioning" in got._jdf.queryExecution().toString()
+
+
+def test_expanded_by_one_column_keeps_its_nulls(spark):
+    df = spark.createDataFrame([("a", i if i % 3 else None) for i in range(100)] + [("b", None)] * 20 + [("c", 1)], "k string, v int")
+    left = spark.createDataFrame([(i, "abcd"[i % 4]) for i in range(40)], "id int, on string")
+    want = sorted(map(repr, left.join(df, S.col("on") == S.col("k")).select("id", "v").collect()))
+    for size in (1, 30, 10_000):
+        counts = group_counts(df, ["k"], size)
+        got = expanded(left.join(counts, S.col("on") == S.col("k")).drop("k"), ["on"], df, ["k"], counts)
+        assert got.columns == ["id", "v"] and sorted(map(repr, got.collect())) == want
+
+
+def test_a_product_is_written_in_few_bytes_a_row(spark, tmp_path):
+    names = spark.createDataFrame([(i, f"src{i}/x.csv") for i in range(400)], "id long, name string")
+    patterns = spark.range(20_000).select((S.col("id") * 60 + 7).alias("pid"), S.when(S.col("id") % 2 == 0, "src*").otherwise("*csv").alias("pattern"))
+    match_patterns(names, patterns).select("pid", "id").write.parquet(str(tmp_path / "out"))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert written.count() == written.distinct().count() == 400 * 20_000
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 400 * 20_000  # less than a byte for two longs
