@@ -9,6 +9,7 @@ from pyspark.sql import functions as S
 from changelake.operators import subscriptions as U
 from changelake.operators.indexes import match_patterns
 from changelake.plans.groups import expanded, group_counts
+from tests.test_plans import NO_BROADCAST, settings
 
 
 def test_expanded_is_the_join(spark):
@@ -61,3 +62,16 @@ def test_a_product_is_written_in_few_bytes_a_row(spark, tmp_path):
     written = spark.read.parquet(str(tmp_path / "out"))
     assert written.count() == written.distinct().count() == 400 * 20_000
     assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 400 * 20_000  # less than a byte for two longs
+
+
+def test_a_product_is_dealt_to_all_tasks_without_a_broadcast(spark):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    matches = spark.range(4000).select(S.lit("c").alias("criterion"), "id", S.lit("created").alias("event")).coalesce(1)
+    # starts are constant where subscriptions have none
+    members = spark.range(500).select(S.col("id").alias("sub_id"), S.concat(S.lit("c"), S.lit("")).alias("criterion"), S.lit(None).cast("bigint").alias("start_id"))
+    with settings(spark, **NO_BROADCAST):
+        got = U.delivered(matches, members)
+        rows = [r["count"] for r in got.groupBy(S.spark_partition_id()).count().collect()]
+        plan = got._jdf.queryExecution().toString()
+    assert sum(rows) == 4000 * 500 and len(rows) > tasks // 2 and max(rows) < sum(rows) // 2
+    assert "hashpartitioning(cast(" not in plan and plan.count("REPARTITION_BY_NUM") >= 2
